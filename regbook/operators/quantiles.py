@@ -79,18 +79,26 @@ def exact_quantiles(
     driver, and no task ever holds more than ``finish_rows`` values of a search.
     """
     values = {c: not_nan(df, c) for c in wanted}
-    counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
-    searches = {
-        c: [_Search(c, max(1, math.ceil(p * counts[c])), counts[c]) for p in fractions]
-        for c, fractions in wanted.items()
-    }
-    pending = [s for group in searches.values() for s in group]
-    for search in pending:
+    # The first pass counts and, since a fraction is known before its rank, also sketches.
+    flat = [(c, p) for c, fractions in wanted.items() for p in fractions]
+    first = df.agg(
+        *[F.count(v) for v in values.values()],
+        *[F.percentile_approx(values[c], _around(p, accuracy), accuracy) for c, p in flat],
+    ).first()
+    counts = dict(zip(values, first))
+    searches = [_Search(c, max(1, math.ceil(p * counts[c])), counts[c]) for c, p in flat]
+    brackets = []
+    for search, bracket in zip(searches, first[len(values) :]):
         if search.inside == 0:
             search.solve(None)
-    while pending := [s for s in pending if not s.solved]:
+        elif search.inside > finish_rows:
+            brackets.append((search, *bracket))
+    if brackets:
+        _narrow(df, brackets, values)
+    while pending := [s for s in searches if not s.solved]:
         _advance(df, pending, values, finish_rows, accuracy)
-    return {c: [s.answer for s in group] for c, group in searches.items()}
+    answers = iter(searches)
+    return {c: [next(answers).answer for _ in fractions] for c, fractions in wanted.items()}
 
 
 def approx_quantiles(
@@ -108,6 +116,12 @@ def approx_quantiles(
     return {c: list(row[c]) if row[c] is not None else [None] * len(ps) for c, ps in wanted.items()}
 
 
+def _around(fraction: float, accuracy: int) -> list[float]:
+    """Fractions that enclose the wanted one by more than the sketch's rank error."""
+    slack = 2.0 / accuracy
+    return [max(0.0, fraction - slack), min(1.0, fraction + slack)]
+
+
 def _candidates(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, Column]) -> DataFrame:
     """Column ``s0``, ``s1``, ... per search: its values still in question, else NULL."""
     return df.select(*[s.candidates(values[s.column]).alias(f"s{i}") for i, s in enumerate(searches)])
@@ -128,9 +142,8 @@ def _advance(
             share = (search.rank - 0.5) / search.inside
             probes.append(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY s{i})"))
         else:
-            share, slack = search.rank / search.inside, 2.0 / accuracy
-            fractions = [max(0.0, share - slack), min(1.0, share + slack)]
-            probes.append(F.percentile_approx(f"s{i}", fractions, accuracy))
+            around = _around(search.rank / search.inside, accuracy)
+            probes.append(F.percentile_approx(f"s{i}", around, accuracy))
     found = _candidates(df, searches, values).agg(*probes).first()
     brackets = []
     for search, value in zip(searches, found):

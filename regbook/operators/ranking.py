@@ -38,28 +38,34 @@ def first_per_group(
     carry: Sequence[str],
     value: str,
     largest: bool = False,
+    reduce_first: bool = True,
 ) -> DataFrame:
     """For each group the ``carry`` columns and ``value`` of its first row by ``value``;
     ties go by ``carry``. Ascending order puts a NULL value first, descending last.
 
     Rows are first reduced to the best value per (keys, carry) with a plain hash
-    aggregate, which keeps the result and removes the sort of the full input.
+    aggregate, which keeps the result and spares sorting the full input. When ``carry``
+    is nearly unique that reduces nothing: pass ``reduce_first=False``, and each task
+    sorts its rows and passes on one per group.
     """
-    best = F.max(value) if largest else F.min(value)
-    reduced = df.groupBy(*keys, *carry).agg(
-        best.alias("__best"), F.max(F.col(value).isNull()).alias("__has_null")
-    )
-    if largest:
-        chosen, direction = F.col("__best"), F.col(value).desc_nulls_last()
-    else:
-        chosen = F.when(~F.col("__has_null"), F.col("__best"))
-        direction = F.col(value).asc_nulls_first()
-    candidates = reduced.select(*keys, *carry, chosen.alias(value))
+    rows = df.select(*keys, *carry, value)
+    if reduce_first:
+        rows = _best_per_carry(rows, [*keys, *carry], value, largest)
+    direction = F.desc_nulls_last(value) if largest else F.asc_nulls_first(value)
     order = Window.partitionBy(*keys).orderBy(direction, *[F.asc(c) for c in carry])
-    numbered = candidates.withColumn("__position", F.row_number().over(order))
+    numbered = rows.withColumn("__position", F.row_number().over(order))
     return numbered.filter(F.col("__position") == 1).drop("__position")
 
 
+def _best_per_carry(df: DataFrame, keys: Sequence[str], value: str, largest: bool) -> DataFrame:
+    if largest:
+        return df.groupBy(*keys).agg(F.max(value).alias(value))
+    best = df.groupBy(*keys).agg(
+        F.min(value).alias("__best"), F.max(F.col(value).isNull()).alias("__has_null")
+    )
+    return best.select(*keys, F.when(~F.col("__has_null"), F.col("__best")).alias(value))
+
+
 def above_group_mean(
     df: DataFrame, keys: Sequence[str], column: str, name: str, limit: int | None = None
 ) -> DataFrame:

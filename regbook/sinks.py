@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -22,17 +23,23 @@ def write_results(
     base_path: str,
     many_files: Collection[object] = (),
     prefix: str = "question_",
+    parallel: int = 4,
 ) -> DataFrame:
     """Write every result to ``<base_path>/<prefix><name>``, one file each except for the
     row-level results named in ``many_files``. A result may be a function that builds it;
-    one that fails to build or to write is reported and the others still run. Returns
-    (name, status, error)."""
-    report = []
-    for name, result in results.items():
+    one that fails to build or to write is reported and the others still run. ``parallel``
+    results are written at a time, since many of them leave most of a cluster idle.
+    Returns (name, status, error)."""
+
+    def write(name: object) -> tuple[str, str, str | None]:
         try:
+            result = results[name]
             df = result() if callable(result) else result
             write_delimited(df, f"{base_path}/{prefix}{name}", single_file=name not in many_files)
-            report.append((str(name), "written", None))
         except (PySparkException, Py4JError) as error:
-            report.append((str(name), "failed", str(error)))
+            return str(name), "failed", str(error)
+        return str(name), "written", None
+
+    with ThreadPoolExecutor(parallel) as pool:
+        report = list(pool.map(write, results))
     return spark.createDataFrame(report, "name string, status string, error string")

@@ -90,31 +90,35 @@ def _iqr(source: str, target: str, column: str, k: float, where: str = "") -> st
 )"""
 
 
-def _cleaning_sql() -> str:
-    """CTEs from ``raw`` to ``filled``, the rows before duplicates are removed."""
+def _cleaning_sql(identity: bool = False) -> str:
+    """CTEs from ``raw`` to ``filled``, the rows before duplicates are removed; with
+    ``identity`` they are already removed, by all columns."""
     c = VIEW_CLEANING
     sentinels = _quoted(c.sentinels)
-    columns = [x for x in RAW_COLUMNS if x not in UNINFORMATIVE]
+    columns = RAW_COLUMNS
+    survivors = "(SELECT DISTINCT * FROM s3)" if identity else "s3"
     std = ", ".join(
         f"CASE WHEN upper(trim({x}, ' ')) NOT IN ({sentinels}) THEN upper(trim({x}, ' ')) END AS {x}"
         if x in _TEXT else x for x in columns
     )
     kept = ", ".join(x for x in CLEAN_COLUMNS if x not in {"MODEL", "CAPACITY", *_TEXT})
     text = ", ".join(f"coalesce({x}, '{UNKNOWN}') AS {x}" for x in _TEXT if x != "MODEL")
-    return f"""{view_sql()}, std AS (
+    return f"""{view_sql()}, twice AS (
+  SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE FUEL = '{TERMS.diesel}'
+), std AS (
   SELECT *, {c.as_of} - MAKE_YEAR AS AGE, cast(year(D_REG) AS integer) AS REG_YEAR,
-    cast(month(D_REG) AS integer) AS REG_MONTH FROM (SELECT {std} FROM raw)
+    cast(month(D_REG) AS integer) AS REG_MONTH FROM (SELECT {std} FROM twice)
 ), in_range AS (
   SELECT * FROM std WHERE MAKE_YEAR IS NULL OR MAKE_YEAR BETWEEN {c.year_range[0]} AND {c.year_range[1]}
 ), domain AS (
   SELECT * FROM in_range WHERE OWN_WEIGHT IS NULL OR TOTAL_WEIGHT IS NULL OR TOTAL_WEIGHT >= OWN_WEIGHT
 ), {_iqr("domain", "s1", "CAPACITY", c.iqr_k)}, {_iqr("s1", "s2", "OWN_WEIGHT", c.iqr_k)},
 {_iqr("s2", "s3", "TOTAL_WEIGHT", c.iqr_k)}, rare AS (
-  SELECT MODEL FROM s3 WHERE MODEL IS NOT NULL GROUP BY MODEL HAVING count(*) < {c.label_min_count}
+  SELECT MODEL FROM {survivors} WHERE MODEL IS NOT NULL GROUP BY MODEL HAVING count(*) < {c.label_min_count}
 ), filled AS (
   SELECT {kept}, coalesce(CAPACITY, 0.0) AS CAPACITY, {text},
     CASE WHEN MODEL IN (SELECT MODEL FROM rare) THEN '{OTHER}' ELSE coalesce(MODEL, '{UNKNOWN}') END AS MODEL
-  FROM s3 WHERE OWN_WEIGHT IS NOT NULL AND TOTAL_WEIGHT IS NOT NULL
+  FROM {survivors} WHERE OWN_WEIGHT IS NOT NULL AND TOTAL_WEIGHT IS NOT NULL
 )"""
 
 
@@ -254,6 +258,7 @@ def _operators() -> dict[str, str]:
         "fold_rare": f"""SELECT o_orderkey, CASE WHEN count(*) OVER (PARTITION BY o_custkey) < 10 THEN '{OTHER}'
             ELSE cast(o_custkey AS varchar) END AS customer FROM orders""",
         "clean_registry": f"WITH {_cleaning_sql()} SELECT DISTINCT * FROM filled",
+        "clean_registry_by_identity": f"WITH {_cleaning_sql(identity=True)} SELECT * FROM filled",
         "audit_registry": _audit_sql(),
         "profile_shape": "SELECT count(*) AS n_rows, cast(11 AS bigint) AS n_columns FROM lineitem",
         "profile_columns": _columns_sql(),

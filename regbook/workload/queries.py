@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from ..functions.parsing import parse_decimal, parse_short_date
 from ..operators import aggregates, cleaning, distribution, labels, outliers, profiling, ranking
 from ..plans.cleaning import CleaningConfig, apply_cleaning, audit_cleaning, fit_cleaning
 from ..plans.questions import QUESTIONS
-from ..schema import CLEAN_COLUMNS, RAW_COLUMNS, SENTINELS
+from ..schema import CLEAN_COLUMNS, SENTINELS
 from ..sinks import write_delimited, write_results
 from ..sources import load_registry, read_delimited, read_table
 from ..storage import scratch_path
-from .view import AS_OF, clean_rows, raw_rows, registry
+from .view import AS_OF, TERMS, clean_rows, raw_rows, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,7 @@ VIEW_CLEANING = CleaningConfig(
     iqr_k=0.25,
     sentinels=(*SENTINELS, "OLD"),
     label_column="MODEL",
-    label_min_count=450,
+    label_min_count=300,
 )
 
 
@@ -219,12 +220,27 @@ def fold_rare(spark, folder):
     return labels.fold_rare(orders, "customer")
 
 
+def _delivered_twice(spark, folder):
+    """The raw view with the orders of one priority delivered a second time."""
+    rows = raw_rows(spark, folder)
+    return rows.unionByName(rows.filter(F.col("FUEL") == TERMS.diesel))
+
+
 def clean_registry(spark, folder):
-    return apply_cleaning(fit_cleaning(raw_rows(spark, folder), VIEW_CLEANING, stage=True))
+    rows = _delivered_twice(spark, folder)
+    return apply_cleaning(fit_cleaning(rows, VIEW_CLEANING, stage=True))
+
+
+def clean_registry_by_identity(spark, folder):
+    """Copies are recognised by all columns, before the identifying ones are dropped."""
+    config = replace(VIEW_CLEANING, dedup_on="identity")
+    rows = _delivered_twice(spark, folder)
+    return apply_cleaning(fit_cleaning(rows, config, stage=True))
 
 
 def audit_registry(spark, folder):
-    return audit_cleaning(fit_cleaning(raw_rows(spark, folder), VIEW_CLEANING, stage=True))
+    rows = _delivered_twice(spark, folder)
+    return audit_cleaning(fit_cleaning(rows, VIEW_CLEANING, stage=True))
 
 
 # --- profiling -----------------------------------------------------------------------
@@ -314,7 +330,9 @@ def leaders_per_group(spark, folder):
 
 def first_per_group(spark, folder):
     orders = read_table(spark, folder, "orders")
-    return ranking.first_per_group(orders, ["o_custkey"], ["o_orderkey"], "o_orderdate")
+    return ranking.first_per_group(
+        orders, ["o_custkey"], ["o_orderkey"], "o_orderdate", reduce_first=False
+    )
 
 
 def above_group_mean(spark, folder):
@@ -360,6 +378,7 @@ _OPERATORS: tuple[Query, ...] = (
     iqr_filter_approx,
     fold_rare,
     clean_registry,
+    clean_registry_by_identity,
     audit_registry,
     profile_shape,
     profile_columns,
