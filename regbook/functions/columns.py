@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
@@ -25,9 +28,15 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return column.isNull() | F.isnan(column) if _may_be_nan(df, name) else column.isNull()
 
 
-def not_nan(df: DataFrame, name: str) -> Column:
-    """The column as double with NaN turned into NULL."""
-    column = F.col(name)
-    if _may_be_nan(df, name):
-        column = F.when(~F.isnan(column), column)
-    return column.cast("double")
+def as_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Only these columns, as double, with NaN turned into NULL.
+
+    A projection of its own on purpose: aggregates that use a column many times then
+    refer to a computed value, and their generated code stays small enough to compile.
+    """
+
+    def number(name: str) -> Column:
+        column = F.col(name).cast("double")
+        return F.nullif(column, F.lit(math.nan)) if _may_be_nan(df, name) else column
+
+    return df.select(*[number(c).alias(c) for c in columns])

@@ -7,15 +7,17 @@ deviation; they return to the plan as literals.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import not_nan, numeric_columns
+from ..functions.columns import as_numbers, numeric_columns
 
+# A density bin is never wider than this share of the bandwidth.
+BIN_SHARE = 0.125
 DENSITY_BINS = 512
 
 
@@ -29,13 +31,16 @@ class _Extent:
 
 def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, _Extent]:
     """Extent of each column that has a value."""
-    values = {c: not_nan(df, c) for c in columns}
-    row = df.agg(
-        *[
-            F.struct(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).alias(c)
-            for c, v in values.items()
-        ]
-    ).first()
+    row = (
+        as_numbers(df, columns)
+        .agg(
+            *[
+                F.struct(F.count(c), F.min(c), F.max(c), F.stddev_samp(c)).alias(c)
+                for c in columns
+            ]
+        )
+        .first()
+    )
     return {c: _Extent(*row[c]) for c in columns if row[c][0] > 0}
 
 
@@ -46,36 +51,30 @@ def _edges(low: float, high: float, bins: int) -> tuple[float, float]:
     return low, (high - low) / bins
 
 
-def _bin_of(value: Column, low: float, width: float, bins: int) -> Column:
-    """Zero-based bin; bins are half-open and the last one includes its right edge. The
-    estimate from the division is corrected against the edges themselves."""
-    guess = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
-    lower, upper = F.lit(low) + guess * F.lit(width), F.lit(low) + (guess + 1) * F.lit(width)
-    return (
-        F.when(value < lower, guess - 1)
-        .when((value >= upper) & (guess < bins - 1), guess + 1)
-        .otherwise(guess)
-    )
-
-
-def _binned(df: DataFrame, extents: dict[str, _Extent], bins: int) -> DataFrame:
-    """(column, bin, count, mean) for the bins that hold a value."""
-    records = []
-    for c, extent in extents.items():
-        value = not_nan(df, c)
-        low, width = _edges(extent.low, extent.high, bins)
-        records.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                _bin_of(value, low, width, bins).alias("bin"),
-                value.alias("value"),
-            )
-        )
+def _binned(df: DataFrame, extents: dict[str, _Extent], bins: Mapping[str, int]) -> DataFrame:
+    """(column, bin, count, mean) for the bins that hold a value. Bins are zero-based and
+    half-open, and the last one includes its right edge."""
+    values = as_numbers(df, extents)
+    edges = {c: (*_edges(e.low, e.high, bins[c]), bins[c] - 1) for c, e in extents.items()}
+    guesses = {
+        f"__guess_{c}": F.least(F.floor((F.col(c) - low) / width), F.lit(last)).cast("int")
+        for c, (low, width, last) in edges.items()
+    }
+    # The division may land next to the right bin; the edges themselves decide.
+    cells = []
+    for c, (low, width, last) in edges.items():
+        value, guess = F.col(c), F.col(f"__guess_{c}")
+        before = value < F.lit(low) + guess * F.lit(width)
+        after = (value >= F.lit(low) + (guess + 1) * F.lit(width)) & (guess < last)
+        exact = F.when(before, guess - 1).when(after, guess + 1).otherwise(guess)
+        cells.append(F.struct(exact.alias("bin"), value.alias("value")).alias(c))
     return (
-        df.select(F.inline(F.array(*records)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "bin")
-        .agg(F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"))
+        values.withColumns(guesses)
+        .select(*cells)
+        .unpivot([], list(extents), "column", "cell")
+        .filter(F.col("cell.value").isNotNull())
+        .groupBy("column", F.col("cell.bin").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("count"), F.avg("cell.value").alias("mean"))
     )
 
 
@@ -94,7 +93,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     )
     if not extents:
         return edges.withColumn("count", F.lit(0).cast("bigint"))
-    counts = _binned(df, extents, bins).drop("mean")
+    counts = _binned(df, extents, dict.fromkeys(extents, bins)).drop("mean")
     # The counts have at most one row per column and bin.
     filled = edges.join(F.broadcast(counts), ["column", "bin"], "left")
     return filled.withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
@@ -105,13 +104,13 @@ def density(
     columns: Sequence[str] | None = None,
     grid: int = 200,
     bandwidth: float | None = None,
-    bins: int = DENSITY_BINS,
 ) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from minimum to maximum.
 
     The kernel is summed over fine bins, each represented by the mean of its values, so
-    the work after one pass over the data is grid x bins. ``bandwidth`` defaults to
-    Scott's rule. Columns without spread have no curve. Output: (column, point, x, density).
+    the work after one pass over the data is grid x bins; bins are narrow against the
+    bandwidth, which shrinks as the data grows. ``bandwidth`` defaults to Scott's rule.
+    Columns without spread have no curve. Output: (column, point, x, density).
     """
     extents = {
         c: e for c, e in _extents(df, columns or numeric_columns(df)).items() if e.n > 1 and e.spread
@@ -120,10 +119,11 @@ def density(
         return df.sparkSession.createDataFrame(
             [], "column string, point int, x double, density double"
         )
-    curves = []
+    curves, bins = [], {}
     for c, e in extents.items():
         h = float(bandwidth) if bandwidth is not None else e.spread * e.n ** -0.2
         step = (e.high - e.low) / (grid - 1)
+        bins[c] = max(DENSITY_BINS, math.ceil((e.high - e.low) / (h * BIN_SHARE)))
         curves.append((c, e.low, step, h, 1.0 / (e.n * h * math.sqrt(2 * math.pi))))
     curves = df.sparkSession.createDataFrame(
         curves, "column string, low double, step double, h double, scale double"
@@ -146,21 +146,19 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Pearson correlation of every ordered pair over the rows where both are present;
     NULL where a column has no spread. Output: (x, y, corr)."""
     columns = list(columns or numeric_columns(df))
-    values = {c: not_nan(df, c) for c in columns}
-    pairs = list(combinations(range(len(columns)), 2))
-    measures = [
-        F.corr(values[columns[i]], values[columns[j]]).alias(f"c{i}_{j}") for i, j in pairs
-    ]
-    measures += [
-        F.when(F.stddev_pop(v) > 0, 1.0).alias(f"c{i}_{i}") for i, v in enumerate(values.values())
-    ]
-    cells = [
-        F.struct(
-            F.lit(x).alias("x"),
-            F.lit(y).alias("y"),
-            F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"),
-        )
-        for i, x in enumerate(columns)
-        for j, y in enumerate(columns)
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*cells)))
+    pairs = list(combinations_with_replacement(columns, 2))
+    # One record per row and pair keeps the aggregate's code the same size for any number
+    # of columns; a single aggregate over all pairs outgrows what the JVM compiles.
+    items = ", ".join(f"(`{x}`, `{y}`) AS `{i}`" for i, (x, y) in enumerate(pairs))
+    paired = df.sparkSession.sql(
+        f"SELECT pair, x, y FROM {{rows}} UNPIVOT INCLUDE NULLS ((x, y) FOR pair IN ({items}))",
+        rows=as_numbers(df, columns),
+    )
+    first, second = (F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1))
+    index = F.col("pair").cast("int")
+    x, y = F.get(first, index), F.get(second, index)
+    orders = F.array_distinct(
+        F.array(F.struct(x.alias("x"), y.alias("y")), F.struct(y.alias("x"), x.alias("y")))
+    )
+    measured = paired.groupBy("pair").agg(F.corr("x", "y").alias("corr"))
+    return measured.select("corr", F.inline(orders)).select("x", "y", "corr")

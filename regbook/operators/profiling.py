@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import is_missing, not_nan, numeric_columns, text_columns
+from ..functions.columns import as_numbers, is_missing, numeric_columns, text_columns
 from .quantiles import SKETCH_ACCURACY, exact_quantiles
 
 _QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
@@ -54,46 +54,38 @@ def profile_numeric(
     df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact"
 ) -> DataFrame:
     """count, mean, stddev, min, quartiles and max per numeric column, as a long table of
-    (column, metric, value). ``method`` chooses exact or one-pass approximate quartiles."""
+    (column, metric, value). NaN counts as missing. ``method`` chooses exact quartiles or
+    approximate ones, which need no pass of their own."""
     columns = list(columns or numeric_columns(df))
+    fractions = list(_QUARTILES.values())
     if method == "exact":
-        found = exact_quantiles(df, {c: list(_QUARTILES.values()) for c in columns})
+        found = exact_quantiles(df, dict.fromkeys(columns, fractions))
         quartiles = {
-            c: [F.lit(q).cast("double").alias(name) for name, q in zip(_QUARTILES, found[c])]
-            for c in columns
+            c: F.array(*[F.lit(q).cast("double") for q in found[c]]) for c in columns
         }
     else:
-        quartiles = {
-            c: [
-                F.percentile_approx(not_nan(df, c), q, SKETCH_ACCURACY).alias(name)
-                for name, q in _QUARTILES.items()
-            ]
-            for c in columns
-        }
+        quartiles = {c: F.percentile_approx(c, fractions, SKETCH_ACCURACY) for c in columns}
     summaries = [
         F.struct(
             F.count(c).cast("double").alias("count"),
-            F.avg(c).cast("double").alias("mean"),
+            F.avg(c).alias("mean"),
             F.stddev(c).alias("stddev"),
-            F.min(c).cast("double").alias("min"),
-            *quartiles[c],
-            F.max(c).cast("double").alias("max"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            quartiles[c].alias("quartiles"),
         ).alias(c)
         for c in columns
     ]
-    metrics = ["count", "mean", "stddev", "min", *_QUARTILES, "max"]
-    return _unfold(
-        df.agg(*summaries),
-        [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(m).alias("metric"),
-                F.col(f"`{c}`.`{m}`").alias("value"),
-            )
-            for c in columns
-            for m in metrics
-        ],
-    )
+    records = []
+    for c in columns:
+        metrics = {m: F.col(f"`{c}`.{m}") for m in ("count", "mean", "stddev", "min")}
+        metrics |= {m: F.get(F.col(f"`{c}`.quartiles"), i) for i, m in enumerate(_QUARTILES)}
+        metrics["max"] = F.col(f"`{c}`.max")
+        records += [
+            F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.alias("value"))
+            for m, v in metrics.items()
+        ]
+    return _unfold(as_numbers(df, columns).agg(*summaries), records)
 
 
 def profile_categories(

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import not_nan
+from ..functions.columns import as_numbers
 
 SKETCH_ACCURACY = 10_000
 FINISH_ROWS = 100_000
@@ -37,8 +37,8 @@ class _Search:
     def solve(self, value: float | None) -> None:
         self.answer, self.solved = value, True
 
-    def candidates(self, value: Column) -> Column:
-        kept = value
+    def candidates(self) -> Column:
+        kept = value = F.col(self.column)
         if self.low is not None:
             kept = F.when(value > self.low, kept)
         if self.high is not None:
@@ -78,27 +78,27 @@ def exact_quantiles(
     NULL and NaN are ignored; an empty column gives ``None``. Only scalars reach the
     driver, and no task ever holds more than ``finish_rows`` values of a search.
     """
-    values = {c: not_nan(df, c) for c in wanted}
+    df = as_numbers(df, wanted)
     # The first pass counts and, since a fraction is known before its rank, also sketches.
-    flat = [(c, p) for c, fractions in wanted.items() for p in fractions]
     first = df.agg(
-        *[F.count(v) for v in values.values()],
-        *[F.percentile_approx(values[c], _around(p, accuracy), accuracy) for c, p in flat],
+        *[F.count(c) for c in wanted],
+        *[_sketch(c, [x for p in ps for x in _around(p, accuracy)], accuracy) for c, ps in wanted.items()],
     ).first()
-    counts = dict(zip(values, first))
-    searches = [_Search(c, max(1, math.ceil(p * counts[c])), counts[c]) for c, p in flat]
+    searches: dict[str, list[_Search]] = {}
     brackets = []
-    for search, bracket in zip(searches, first[len(values) :]):
-        if search.inside == 0:
-            search.solve(None)
-        elif search.inside > finish_rows:
-            brackets.append((search, *bracket))
+    for (column, fractions), n, sketch in zip(wanted.items(), first, first[len(wanted) :]):
+        searches[column] = [_Search(column, max(1, math.ceil(p * n)), n) for p in fractions]
+        for i, search in enumerate(searches[column]):
+            if n == 0:
+                search.solve(None)
+            elif n > finish_rows:
+                brackets.append((search, sketch[2 * i], sketch[2 * i + 1]))
     if brackets:
-        _narrow(df, brackets, values)
-    while pending := [s for s in searches if not s.solved]:
-        _advance(df, pending, values, finish_rows, accuracy)
-    answers = iter(searches)
-    return {c: [next(answers).answer for _ in fractions] for c, fractions in wanted.items()}
+        _narrow(df, brackets)
+    everything = [s for group in searches.values() for s in group]
+    while pending := [s for s in everything if not s.solved]:
+        _advance(df, pending, finish_rows, accuracy)
+    return {c: [s.answer for s in group] for c, group in searches.items()}
 
 
 def approx_quantiles(
@@ -107,13 +107,12 @@ def approx_quantiles(
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[str, list[float | None]]:
     """One pass for all columns; the rank error is at most ``1 / accuracy``."""
-    row = df.agg(
-        *[
-            F.percentile_approx(not_nan(df, c), list(ps), accuracy).alias(c)
-            for c, ps in wanted.items()
-        ]
-    ).first()
-    return {c: list(row[c]) if row[c] is not None else [None] * len(ps) for c, ps in wanted.items()}
+    row = as_numbers(df, wanted).agg(*[_sketch(c, ps, accuracy) for c, ps in wanted.items()]).first()
+    return {c: list(q) if q is not None else [None] * len(ps) for (c, ps), q in zip(wanted.items(), row)}
+
+
+def _sketch(column: str, fractions: Sequence[float], accuracy: int) -> Column:
+    return F.percentile_approx(column, list(fractions), accuracy)
 
 
 def _around(fraction: float, accuracy: int) -> list[float]:
@@ -122,15 +121,14 @@ def _around(fraction: float, accuracy: int) -> list[float]:
     return [max(0.0, fraction - slack), min(1.0, fraction + slack)]
 
 
-def _candidates(df: DataFrame, searches: Sequence[_Search], values: Mapping[str, Column]) -> DataFrame:
+def _candidates(df: DataFrame, searches: Sequence[_Search]) -> DataFrame:
     """Column ``s0``, ``s1``, ... per search: its values still in question, else NULL."""
-    return df.select(*[s.candidates(values[s.column]).alias(f"s{i}") for i, s in enumerate(searches)])
+    return df.select(*[s.candidates().alias(f"s{i}") for i, s in enumerate(searches)])
 
 
 def _advance(
     df: DataFrame,
     searches: Sequence[_Search],
-    values: Mapping[str, Column],
     finish_rows: int,
     accuracy: int,
 ) -> None:
@@ -143,8 +141,8 @@ def _advance(
             probes.append(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY s{i})"))
         else:
             around = _around(search.rank / search.inside, accuracy)
-            probes.append(F.percentile_approx(f"s{i}", around, accuracy))
-    found = _candidates(df, searches, values).agg(*probes).first()
+            probes.append(_sketch(f"s{i}", around, accuracy))
+    found = _candidates(df, searches).agg(*probes).first()
     brackets = []
     for search, value in zip(searches, found):
         if search.inside <= finish_rows:
@@ -152,14 +150,10 @@ def _advance(
         else:
             brackets.append((search, *value))
     if brackets:
-        _narrow(df, brackets, values)
+        _narrow(df, brackets)
 
 
-def _narrow(
-    df: DataFrame,
-    brackets: Sequence[tuple[_Search, float, float]],
-    values: Mapping[str, Column],
-) -> None:
+def _narrow(df: DataFrame, brackets: Sequence[tuple[_Search, float, float]]) -> None:
     """Count where each bracket lies, in one pass, and keep the part with the rank."""
     measures = []
     for i, (_, left, right) in enumerate(brackets):
@@ -170,6 +164,6 @@ def _narrow(
             F.count_if((v > left) & (v < right)),
             F.count_if((v == right) & (v != left)),
         ]
-    row = _candidates(df, [b[0] for b in brackets], values).agg(*measures).first()
+    row = _candidates(df, [b[0] for b in brackets]).agg(*measures).first()
     for i, (search, left, right) in enumerate(brackets):
         search.narrow(left, right, *row[4 * i : 4 * i + 4])

@@ -9,9 +9,9 @@ that table instead of parsing the source again.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import (
@@ -54,15 +54,18 @@ class CleaningConfig:
     required: tuple[str, ...] = ("OWN_WEIGHT", "TOTAL_WEIGHT")
     text_fill: str = UNKNOWN
     # "row" compares the columns that are left after the identifying ones are gone, so
-    # two alike vehicles count once; "identity" compares whole rows before that.
+    # two alike vehicles count once; "identity" compares whole rows, before anything is
+    # measured, so copies do not weigh on limits and label counts either.
     dedup_on: str = "row"
 
 
 @dataclass(frozen=True)
 class FittedCleaning:
-    """The rows to clean with what was learned from them."""
+    """The rows to clean with what was learned from them. ``source`` still has every
+    column and copy; ``standardised`` has what the later steps work on."""
 
     config: CleaningConfig
+    source: DataFrame
     standardised: DataFrame
     bounds: tuple[IqrBound, ...]
     labels: GroupTable | None
@@ -85,12 +88,8 @@ def _in_domain(df: DataFrame, config: CleaningConfig) -> DataFrame:
 
 
 def _survivors(fitted: FittedCleaning) -> DataFrame:
-    """Rows left after the logical rules and the outlier limits, identity removed."""
-    config = fitted.config
-    df = within_bounds(_in_domain(fitted.standardised, config), fitted.bounds)
-    if config.dedup_on == "identity":
-        df = dedup(df)
-    return drop_uninformative(df, config.uninformative)
+    """Rows left after the logical rules and the outlier limits."""
+    return within_bounds(_in_domain(fitted.standardised, fitted.config), fitted.bounds)
 
 
 def fit_cleaning(
@@ -98,10 +97,10 @@ def fit_cleaning(
 ) -> FittedCleaning:
     """Learn outlier limits and label counts. ``stage`` writes the standardised rows to
     the shared folder first; use it when the source is text or an expensive query."""
-    standardised = _standardise(df, config)
+    source = _standardise(df, config)
+    standardised = dedup(source) if config.dedup_on == "identity" else source
+    standardised = drop_uninformative(standardised, config.uninformative)
     if stage:
-        if config.dedup_on == "row":
-            standardised = drop_uninformative(standardised, config.uninformative)
         standardised = materialise(standardised, "standardised")
     bounds = iqr_bounds(
         _in_domain(standardised, config),
@@ -110,11 +109,10 @@ def fit_cleaning(
         config.iqr_floor,
         config.quantiles,
     )
-    fitted = FittedCleaning(config, standardised, tuple(bounds), None)
-    if config.label_column not in df.columns:
+    fitted = FittedCleaning(config, source, standardised, tuple(bounds), None)
+    if config.label_column not in standardised.columns:
         return fitted
-    labels = label_counts(_survivors(fitted), config.label_column)
-    return FittedCleaning(config, standardised, tuple(bounds), labels)
+    return replace(fitted, labels=label_counts(_survivors(fitted), config.label_column))
 
 
 def apply_cleaning(fitted: FittedCleaning) -> DataFrame:
@@ -156,39 +154,36 @@ def audit_cleaning(fitted: FittedCleaning) -> DataFrame:
         rules.append(("order", high, None, None, F.col(high) < F.col(low)))
     for b in fitted.bounds:
         rules.append(("outlier", b.column, b.lower, b.upper, ~b.keeps()))
-    remaining, counts = F.lit(True), []
-    for *_, flagged in rules:
+    identity = config.dedup_on == "identity"
+    first = 2 if identity else 1
+    remaining, counts, records = F.lit(True), [], []
+    for step, (rule, column, low, high, flagged) in enumerate(rules, start=first):
         flagged = F.coalesce(flagged, F.lit(False))
-        counts.append(F.count_if(remaining & flagged))
+        counts.append(F.count_if(remaining & flagged).alias(f"n{step}"))
         remaining = remaining & ~flagged
-    rows = [
-        F.struct(
-            F.lit(i).alias("step"),
-            F.lit(rule).alias("rule"),
-            F.lit(column).alias("column"),
-            F.lit(low).cast("double").alias("lower"),
-            F.lit(high).cast("double").alias("upper"),
-            F.col(f"n{i}").alias("rows_flagged"),
-        )
-        for i, (rule, column, low, high, _) in enumerate(rules, start=1)
-    ]
-    value_rules = df.agg(
-        *[c.alias(f"n{i}") for i, c in enumerate(counts, start=1)]
-    ).select(F.inline(F.array(*rows)))
-    return value_rules.unionByName(_count_duplicates(fitted, len(rules) + 1))
-
-
-def _count_duplicates(fitted: FittedCleaning, step: int) -> DataFrame:
-    if fitted.config.dedup_on == "identity":
-        rows = within_bounds(_in_domain(fitted.standardised, fitted.config), fitted.bounds)
-    else:
-        rows = _filled(fitted)
-    copies = rows.groupBy(*rows.columns).agg((F.count(F.lit(1)) - 1).alias("copies"))
-    return copies.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_flagged")).select(
+        records.append(_audit_record(step, rule, column, low, high, F.col(f"n{step}")))
+    copies = _count_copies(fitted.source if identity else _filled(fitted))
+    step = 1 if identity else first + len(rules)
+    duplicates = copies.select(
+        F.inline(F.array(_audit_record(step, "duplicate", None, None, None, F.col("copies"))))
+    )
+    if not rules:
+        return duplicates
+    return df.agg(*counts).select(F.inline(F.array(*records))).unionByName(duplicates)
+
+
+def _audit_record(step, rule, column, lower, upper, flagged: Column) -> Column:
+    return F.struct(
         F.lit(step).alias("step"),
-        F.lit("duplicate").alias("rule"),
-        F.lit(None).cast("string").alias("column"),
-        F.lit(None).cast("double").alias("lower"),
-        F.lit(None).cast("double").alias("upper"),
-        "rows_flagged",
+        F.lit(rule).alias("rule"),
+        F.lit(column).cast("string").alias("column"),
+        F.lit(lower).cast("double").alias("lower"),
+        F.lit(upper).cast("double").alias("upper"),
+        flagged.alias("rows_flagged"),
     )
+
+
+def _count_copies(df: DataFrame) -> DataFrame:
+    """How many rows repeat an earlier one, as column ``copies``."""
+    groups = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
+    return groups.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("copies"))

@@ -96,7 +96,7 @@ def _cleaning_sql(identity: bool = False) -> str:
     c = VIEW_CLEANING
     sentinels = _quoted(c.sentinels)
     columns = RAW_COLUMNS
-    survivors = "(SELECT DISTINCT * FROM s3)" if identity else "s3"
+    distinct = "DISTINCT" if identity else ""
     std = ", ".join(
         f"CASE WHEN upper(trim({x}, ' ')) NOT IN ({sentinels}) THEN upper(trim({x}, ' ')) END AS {x}"
         if x in _TEXT else x for x in columns
@@ -107,18 +107,18 @@ def _cleaning_sql(identity: bool = False) -> str:
   SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE FUEL = '{TERMS.diesel}'
 ), std AS (
   SELECT *, {c.as_of} - MAKE_YEAR AS AGE, cast(year(D_REG) AS integer) AS REG_YEAR,
-    cast(month(D_REG) AS integer) AS REG_MONTH FROM (SELECT {std} FROM twice)
+    cast(month(D_REG) AS integer) AS REG_MONTH FROM (SELECT {distinct} {std} FROM twice)
 ), in_range AS (
   SELECT * FROM std WHERE MAKE_YEAR IS NULL OR MAKE_YEAR BETWEEN {c.year_range[0]} AND {c.year_range[1]}
 ), domain AS (
   SELECT * FROM in_range WHERE OWN_WEIGHT IS NULL OR TOTAL_WEIGHT IS NULL OR TOTAL_WEIGHT >= OWN_WEIGHT
 ), {_iqr("domain", "s1", "CAPACITY", c.iqr_k)}, {_iqr("s1", "s2", "OWN_WEIGHT", c.iqr_k)},
 {_iqr("s2", "s3", "TOTAL_WEIGHT", c.iqr_k)}, rare AS (
-  SELECT MODEL FROM {survivors} WHERE MODEL IS NOT NULL GROUP BY MODEL HAVING count(*) < {c.label_min_count}
+  SELECT MODEL FROM s3 WHERE MODEL IS NOT NULL GROUP BY MODEL HAVING count(*) < {c.label_min_count}
 ), filled AS (
   SELECT {kept}, coalesce(CAPACITY, 0.0) AS CAPACITY, {text},
     CASE WHEN MODEL IN (SELECT MODEL FROM rare) THEN '{OTHER}' ELSE coalesce(MODEL, '{UNKNOWN}') END AS MODEL
-  FROM {survivors} WHERE OWN_WEIGHT IS NOT NULL AND TOTAL_WEIGHT IS NOT NULL
+  FROM s3 WHERE OWN_WEIGHT IS NOT NULL AND TOTAL_WEIGHT IS NOT NULL
 )"""
 
 

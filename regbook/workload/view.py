@@ -64,18 +64,23 @@ def raw_rows(spark: SparkSession, folder: str, columns: Iterable[str] = RAW_COLU
     """The requested raw columns, joining only the tables they come from: every line item
     has exactly one order, part and customer, so an unused join would change nothing."""
     columns = list(columns)
+
+    def rows_of(table: str, *keys: str) -> DataFrame:
+        # Columns are computed before the join, on the smaller table.
+        own = [f"{e.format(text='string')} AS {c}" for c in columns for e, t in [_COLUMNS[c]] if t == table]
+        return read_table(spark, folder, table).selectExpr(*keys, *own)
+
     tables = {_COLUMNS[c][1] for c in columns}
-    rows = read_table(spark, folder, "lineitem")
+    rows = rows_of("lineitem", "l_orderkey", "l_partkey")
     if tables & {"orders", "customer"}:
-        orders = read_table(spark, folder, "orders")
+        orders = rows_of("orders", "o_orderkey", "o_custkey")
         if "customer" in tables:
-            customer = read_table(spark, folder, "customer")
+            customer = rows_of("customer", "c_custkey")
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if "part" in tables:
-        part = read_table(spark, folder, "part")
-        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return rows.selectExpr(*[f"{_COLUMNS[c][0].format(text='string')} AS {c}" for c in columns])
+        rows = rows.join(rows_of("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    return rows.select(*columns)
 
 
 def clean_rows(spark: SparkSession, folder: str, columns: Iterable[str] = CLEAN_COLUMNS) -> DataFrame:
