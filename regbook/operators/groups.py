@@ -60,18 +60,15 @@ class GroupTable:
         hot = F.col(_ROWS) >= max(1.0, self.rows * HOT_SHARE)
         heavy = F.broadcast(self.table.filter(hot).drop(_ROWS))
         light = self.table.filter(~hot).drop(_ROWS)
-        cold_rows = df.join(heavy, self._same_group(df, heavy), "left_anti")
+        cold_rows = df.join(heavy, self._same_group(), "left_anti")
         return self._join(df, heavy, "inner").unionByName(self._join(cold_rows, light, "left"))
 
-    def _same_group(self, df: DataFrame, groups: DataFrame) -> Column:
-        return reduce(
-            Column.__and__,
-            [df[k].eqNullSafe(groups[f"{_KEY}{i}"]) for i, k in enumerate(self.keys)],
-        )
+    def _same_group(self) -> Column:
+        pairs = [F.col(k).eqNullSafe(F.col(f"{_KEY}{i}")) for i, k in enumerate(self.keys)]
+        return reduce(Column.__and__, pairs)
 
     def _join(self, df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
-        joined = df.join(groups, self._same_group(df, groups), how)
-        return joined.select(*[df[c] for c in df.columns], *[groups[v] for v in self.values])
+        return df.join(groups, self._same_group(), how).select(*df.columns, *self.values)
 
 
 def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> GroupTable:
