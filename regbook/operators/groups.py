@@ -59,7 +59,8 @@ class GroupTable:
             return self._join(df, F.broadcast(slim), "left")
         hot = F.col(_ROWS) >= max(1.0, self.rows * HOT_SHARE)
         heavy = F.broadcast(self.table.filter(hot).drop(_ROWS))
-        light = self.table.filter(~hot).drop(_ROWS)
+        # Compressed files may look small enough to broadcast; the measured size is not.
+        light = self.table.filter(~hot).drop(_ROWS).hint("merge")
         cold_rows = df.join(heavy, self._same_group(), "left_anti")
         return self._join(df, heavy, "inner").unionByName(self._join(cold_rows, light, "left"))
 
