@@ -160,5 +160,12 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     orders = F.array_distinct(
         F.array(F.struct(x.alias("x"), y.alias("y")), F.struct(y.alias("x"), x.alias("y")))
     )
-    measured = paired.groupBy("pair").agg(F.corr("x", "y").alias("corr"))
-    return measured.select("corr", F.inline(orders)).select("x", "y", "corr")
+    # Not the built-in aggregate: under ANSI mode it fails on a column without spread.
+    spread = F.stddev_pop(F.when(F.col("y").isNotNull(), F.col("x"))) * F.stddev_pop(
+        F.when(F.col("x").isNotNull(), F.col("y"))
+    )
+    measured = paired.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("corr"))
+    limited = F.when(F.col("corr").isNotNull() & (x == y), 1.0).otherwise(
+        F.when(F.abs("corr") > 1, F.signum("corr")).otherwise(F.col("corr"))
+    )
+    return measured.select(limited.alias("corr"), F.inline(orders)).select("x", "y", "corr")

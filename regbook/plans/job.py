@@ -1,7 +1,7 @@
 """The batch job: registry text in, clean table and 24 answers out.
 
     spark-submit --conf spark.checkpoint.dir=<shared folder> \\
-        -m regbook.plans.job <registry csv> <output folder>
+        run_registry.py <registry csv> <output folder>
 """
 
 from __future__ import annotations
@@ -43,7 +43,3 @@ def main() -> None:
         run(spark, source, output).show(truncate=False)
     finally:
         spark.stop()
-
-
-if __name__ == "__main__":
-    main()

@@ -115,6 +115,5 @@ def test_limits_reach_the_scan(spark, raw, tmp_path):
     raw.write.parquet(str(tmp_path / "raw"))
     fitted = fit_cleaning(spark.read.parquet(str(tmp_path / "raw")))
     plan = apply_cleaning(fitted)._jdf.queryExecution().executedPlan().toString()
-    pushed = plan[plan.index("PushedFilters") :]
-    assert "CAPACITY" in pushed.split("ReadSchema")[0] and "MAKE_YEAR" in pushed.split("ReadSchema")[0]
+    assert "MAKE_YEAR" in plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
     assert "VIN" not in plan.split("ReadSchema")[1].split("\n")[0]

@@ -1,6 +1,7 @@
 """The registry preset on hand-made vehicles."""
 
 import datetime
+from collections import Counter
 
 import pytest
 
@@ -76,8 +77,9 @@ EXPECTED = {
 
 
 @pytest.mark.parametrize("number", sorted(EXPECTED))
-def test_answers(registry, rows, number):
-    assert rows(QUESTIONS[number](registry)) == EXPECTED[number]
+def test_answers(registry, number):
+    answer = Counter(tuple(r) for r in QUESTIONS[number](registry).collect())
+    assert answer == Counter(EXPECTED[number])
 
 
 def test_whole_row_answers(registry):
