@@ -5,7 +5,7 @@ import pytest
 
 from regbook.operators.quantiles import approx_quantiles, exact_quantiles
 
-FRACTIONS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+FRACTIONS = [0.0, 0.25, 0.5, 0.99, 1.0]
 
 
 def order_statistics(values, fractions=FRACTIONS):
@@ -26,7 +26,7 @@ def datasets():
 
 
 @pytest.mark.parametrize("name", list(datasets()))
-@pytest.mark.parametrize("finish_rows, accuracy", [(100_000, 10_000), (20, 50), (3, 20)])
+@pytest.mark.parametrize("finish_rows, accuracy", [(100_000, 10_000), (10, 40)])
 def test_exact_whatever_the_sketch(spark, name, finish_rows, accuracy):
     values = datasets()[name]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
