@@ -120,6 +120,28 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
     assert storage.shared_dir(Session()) == "hdfs:///shared"
 
 
+def test_local_session_gets_a_folder_of_its_own():
+    class Context:
+        master = "local[2]"
+        folder = None
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = f"{folder}/id"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    session = Session()
+    assert storage.shared_dir(session) == storage.shared_dir(session) == session.sparkContext.folder
+
+
 def test_materialised_table_is_read_back(spark, rows):
     df = spark.range(5).withColumn("x", F.lit("a"))
     table = storage.materialise(df, "t")
