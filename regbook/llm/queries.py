@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, quality_rules, sentencepiece, simhash
+from . import decontamination, html_extraction, line_dedup, pii, quality_rules, sentencepiece, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_extraction.main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -39,6 +44,16 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    kinds = F.col("base.kind")
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.BASE_KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
     return judged.select(
