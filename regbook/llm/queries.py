@@ -8,15 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, line_dedup, pii, quality_rules, sentencepiece, simhash
+from . import decontamination, html_extraction, language_model, line_dedup, pii, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+# Edits of the token count query: what goes and what takes its place.
+EDITS = (
+    (r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<email>"),
+    (r"[ \t]+(?=\n)", ""),
+    (r"(?<=[0-9]{4})[0-9]{4,}", ""),
+)
+
+
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
@@ -44,6 +53,28 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return language_model.classify(table(spark, folder, "documents"), trusted)
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, and again with its e-mail addresses masked, white space
+    at line ends taken away and long numbers shortened to their first four digits."""
+    ranks = token_counts.load_ranks(RANKS)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, ranks).withColumnRenamed("n_tokens", "n_before")
+    found = counted.withColumn("edits", token_counts.pattern_edits("text", EDITS))
+    edited = token_counts.apply_edits(found, ranks)
+    return edited.select(
+        "doc_id",
+        F.col("n_before").alias("n_tokens"),
+        F.size("edits").cast("long").alias("n_edits"),
+        F.col("n_tokens").alias("n_tokens_edited"),
+        "n_encoded",
+    )
+
+
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, folder, "documents"))
     kinds = F.col("base.kind")
@@ -61,5 +92,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.drop_repeated_substrings(table(spark, folder, "documents"), length=50)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
