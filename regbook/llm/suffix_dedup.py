@@ -11,7 +11,8 @@ positions inside them: equal windows share it, wherever they stand. Neighbouring
 mostly have the same one, so a run of them travels as a single row. The steps are
 
 1. every text is cut into such runs; within a batch, runs with equal context are
-   resolved at once and only the one of the smallest document goes on;
+   resolved at once and only the one of the smallest document goes on; copies of a whole
+   text are known by its hash;
 2. runs are sorted by bucket, and those whose bucket is in one document only are done;
 3. the others fetch their bytes and meet again, now window by window. In a bucket with
    more than ``HOT`` runs the windows themselves are refined to buckets of ``length``
@@ -28,6 +29,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +38,8 @@ from ..storage import materialise
 from .common import arrow_map
 from .hashing import SEEDS, mix, refine
 
-GRAM = 16
-HOT = 1_000
+GRAM = 20
+HOT = 10_000
 # Windows of a run, and positions worked on at once.
 RUN = 64
 CHUNK = 1 << 21
@@ -142,27 +144,41 @@ def _merged_by_row(owner: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-ROW = "k1 long, k2 long, doc long, row long, start int, size int, context binary"
-NAMES = ["k1", "k2", "doc", "row", "start", "size", "context"]
+# Runs travel as their bucket, document and place; ``at`` packs the place into one number,
+# or, below zero, bytes to remove.
+RUNS = "k1 long, doc long, row long, at long"
+MET = "k1 long, k2 long, doc long, row long, at long, context binary"
 
 
-def _rows(k1, k2, doc, row, start, size, context=None) -> pa.RecordBatch:
-    """Rows of ``ROW``. A size below zero marks bytes to remove, as many of them."""
-    contexts = pa.nulls(len(k1), pa.binary()) if context is None else pa.array(context, pa.binary())
-    numbers = [pa.array(np.asarray(k).view(np.int64)) for k in (k1, k2, doc, row)]
-    places = [pa.array(np.asarray(p, dtype=np.int32)) for p in (start, size)]
-    return pa.RecordBatch.from_arrays([*numbers, *places, contexts], names=NAMES)
+def _placed(starts: np.ndarray, counts: np.ndarray, hot: np.ndarray | int = 0) -> np.ndarray:
+    return starts.astype(np.int64) << 8 | counts.astype(np.int64) << 1 | hot
 
 
-def _removals(docs, rows, owner, starts, ends) -> pa.RecordBatch:
+def _place(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of windows, and whether the bucket is hot."""
+    return at >> 8, (at >> 1) & 127, (at & 1).astype(bool)
+
+
+def _removed(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return -1 - (starts.astype(np.int64) << 31 | ends.astype(np.int64))
+
+
+def _batch(names: list[str], *columns) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(np.asarray(c).view(np.int64)) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _removals(docs, rows, owner, starts, ends) -> tuple[np.ndarray, ...]:
+    """Bytes to remove as ``k1, doc, row, at``, spread evenly by a key of their own."""
     owner, starts, ends = _merged_by_row(owner, starts, ends)
     key = mix(docs[owner].astype(np.uint64) * np.uint64(SEEDS[0]) + starts.astype(np.uint64))
-    return _rows(key, np.zeros_like(key), docs[owner], rows[owner], starts, starts - ends)
+    return key, docs[owner], rows[owner], _removed(starts, ends)
 
 
 def _run_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    names = ["k1", "doc", "row", "at"]
     for batch in batches:
-        docs, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        docs, rows = (batch.column(i).to_numpy() for i in (0, 1))
         parts = []
         for i, text in enumerate(batch.column(2).cast(pa.binary())):
             data = np.frombuffer(text.as_py() or b"", np.uint8)
@@ -174,93 +190,97 @@ def _run_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> I
             continue
         owner, buckets, context, starts, counts = (np.concatenate(x) for x in zip(*parts))
         known = _covered_before(docs[owner], buckets, context)
-        # Of several equal runs in one document one is enough to compare with.
-        yield _removals(docs, rows, owner[known], starts[known], (starts + counts + length - 1)[known])
+        yield _batch(names, *_removals(docs, rows, owner[known], starts[known], (starts + counts + length - 1)[known]))
         left = ~known
-        yield _rows(
-            buckets[left], np.zeros(left.sum(), np.int64), docs[owner[left]], rows[owner[left]], starts[left], counts[left]
-        )
+        owner = owner[left]
+        yield _batch(names, buckets[left], docs[owner], rows[owner], _placed(starts[left], counts[left]))
 
 
 def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of runs sorted by bucket and document, those whose bucket is in two documents or
-    more; ``k2`` is 1 in a bucket of more than ``HOT`` runs. Removals pass through."""
+    more, marked as hot in a bucket of more than ``HOT`` runs. Removals pass through."""
+    names = ["k1", "doc", "row", "at"]
     held = None
     open_hot = None
 
-    def pick(rows: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-        return _rows(rows[0], hot.astype(np.int64), *rows[1:])
-
-    def whole(rows: np.ndarray) -> pa.RecordBatch | None:
-        if not rows.shape[1]:
-            return None
+    def whole(rows: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
         ends = np.append(starts[1:], rows.shape[1])
         sizes = ends - starts
         shared = np.repeat(rows[1][starts] < rows[1][ends - 1], sizes)
-        return pick(rows[:, shared], np.repeat(sizes > HOT, sizes)[shared])
+        rows = rows[:, shared]
+        rows[3] |= np.repeat(sizes > HOT, sizes)[shared]
+        return _batch(names, *rows)
 
     for batch in batches:
-        rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 2, 3, 4, 5)])
-        gone = rows[4] < 0
+        rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
+        gone = rows[3] < 0
         if gone.any():
-            yield pick(rows[:, gone], np.zeros(gone.sum()))
+            yield _batch(names, *rows[:, gone])
             rows = rows[:, ~gone]
-        if not rows.shape[1]:
-            continue
         if open_hot is not None:
             same = rows[0] == open_hot
             if same.any():
-                yield pick(rows[:, same], np.ones(same.sum()))
+                more = rows[:, same]
+                more[3] |= 1
+                yield _batch(names, *more)
                 rows = rows[:, ~same]
-            if not rows.shape[1]:
-                continue
-            open_hot = None
+        if not rows.shape[1]:
+            continue
+        open_hot = None
         if held is not None:
             rows = np.concatenate((held, rows), axis=1)
         last = np.searchsorted(rows[0], rows[0][-1])
-        done = whole(rows[:, :last])
-        if done is not None:
-            yield done
+        if last:
+            yield whole(rows[:, :last])
         held = rows[:, last:]
         if held.shape[1] > HOT and held[1][0] < held[1][-1]:
-            yield pick(held, np.ones(held.shape[1]))
+            yield whole(held)
             open_hot, held = held[0][0], None
     if held is not None:
-        done = whole(held)
-        if done is not None:
-            yield done
+        yield whole(held)
 
 
 def _fetch_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Runs with their bytes; the windows of hot buckets by their own buckets, resolved
-    within the batch as far as it goes."""
+    """Runs with their bytes; the windows of hot buckets by their own buckets. Both are
+    resolved within the batch as far as it goes."""
     unpack = zstandard.ZstdDecompressor().decompress
+    names = ["k1", "k2", "doc", "row", "at", "context"]
     for batch in batches:
-        docs, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        cold, hot = [], []
-        for i in range(batch.num_rows):
-            text = unpack(batch.column(2)[i].as_py())
-            data = np.frombuffer(text, np.uint8)
-            for run in batch.column(3)[i].as_py():
-                start, size = run["start"], run["size"]
-                if not run["hot"]:
-                    cold.append((run["bucket"], i, start, size, text[start : start + size + length - 1]))
-                    continue
-                part = data[start : start + size + length - 1]
-                refined = [refine(_letters(part, s), 1, length) for s in SEEDS]
-                hot.append((np.full(size, i), *refined, np.arange(start, start + size)))
-        if cold:
-            bucket, owner, start, size, context = zip(*cold)
-            owner = np.array(owner)
-            yield _rows(np.array(bucket), np.zeros(len(owner), np.int64), docs[owner], rows[owner], start, size, context)
-        if hot:
-            owner, k1, k2, start = (np.concatenate(x) for x in zip(*hot))
-            known = _covered_before(docs[owner], k1, k2)
-            yield _removals(docs, rows, owner[known], start[known], start[known] + length)
+        docs, rows = (batch.column(i).to_numpy() for i in (0, 1))
+        lists = batch.column(3)
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        bucket, at = (lists.flatten().field(i).to_numpy() for i in range(2))
+        starts, counts, hot = _place(at)
+        ends = starts + counts + (length - 1)
+        texts = [unpack(t.as_py()) for t in batch.column(2)]
+        cold = np.flatnonzero(~hot)
+        if len(cold):
+            own = owner[cold]
+            context = [texts[i][s:e] for i, s, e in zip(own.tolist(), starts[cold].tolist(), ends[cold].tolist())]
+            same = np.array([xxhash.xxh64_intdigest(c) for c in context], dtype=np.uint64)
+            known = _covered_before(docs[own], bucket[cold], same)
+            key, doc, row, gone = _removals(docs, rows, own[known], starts[cold][known], ends[cold][known])
+            yield _batch(names, key, np.zeros(len(key), np.int64), doc, row, gone, pa.nulls(len(key), pa.binary()))
+            own, cold = own[~known], cold[~known]
+            context = pa.array([c for c, k in zip(context, known.tolist()) if not k], pa.binary())
+            yield _batch(names, bucket[cold], np.zeros(len(cold), np.int64), docs[own], rows[own], at[cold], context)
+        windows = []
+        for i in np.flatnonzero(hot).tolist():
+            part = np.frombuffer(texts[owner[i]], np.uint8)[starts[i] : ends[i]]
+            refined = [refine(_letters(part, s), 1, length) for s in SEEDS]
+            windows.append((np.full(counts[i], owner[i]), *refined, np.arange(starts[i], starts[i] + counts[i])))
+        if windows:
+            own, k1, k2, start = (np.concatenate(x) for x in zip(*windows))
+            known = _covered_before(docs[own], k1, k2)
+            key, doc, row, gone = _removals(docs, rows, own[known], start[known], start[known] + length)
+            yield _batch(names, key, np.zeros(len(key), np.int64), doc, row, gone, pa.nulls(len(key), pa.binary()))
             left = ~known
-            k1, k2, owner, start = k1[left], k2[left], owner[left], start[left]
-            yield _rows(k1, k2 | np.uint64(1), docs[owner], rows[owner], start, np.ones(len(start)))
+            own, start = own[left], start[left]
+            yield _batch(
+                names, k1[left], k2[left] | np.uint64(1), docs[own], rows[own], _placed(start, np.ones_like(start)),
+                pa.nulls(len(own), pa.binary()),
+            )
 
 
 def _resolve_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -268,10 +288,11 @@ def _resolve_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
     key, contexts, windows, first = None, {}, {}, 0
     for batch in batches:
         out = []
-        columns = [batch.column(i).to_pylist() for i in range(len(NAMES))]
-        for k1, k2, doc, row, start, size, context in zip(*columns):
-            if size < 0:
-                out.append((doc, row, start, start - size))
+        starts, counts, _ = _place(batch.column(4).to_numpy())
+        columns = [batch.column(i).to_pylist() for i in range(6)]
+        for k1, k2, doc, row, at, context, start, count in zip(*columns, starts.tolist(), counts.tolist()):
+            if at < 0:
+                out.append((doc, row, (-1 - at) >> 31, (-1 - at) & 0x7FFFFFFF))
                 continue
             if (k1, k2) != key:
                 key, contexts, windows, first = (k1, k2), {}, {}, doc
@@ -281,32 +302,23 @@ def _resolve_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
                     out.append((doc, row, start, start + length))
                 continue
             if contexts.setdefault(context, doc) < doc:
-                out.append((doc, row, start, start + size + length - 1))
+                out.append((doc, row, start, start + len(context)))
                 continue
-            begin = None
-            for i in range(size):
+            for i in range(count):
                 if windows.setdefault(context[i : i + length], doc) < doc:
-                    begin = i if begin is None else begin
-                    end = i + length
-                elif begin is not None and i > end:
-                    out.append((doc, row, start + begin, start + end))
-                    begin = None
-            if begin is not None:
-                out.append((doc, row, start + begin, start + end))
-        docs, rows, starts, ends = zip(*out) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(docs, pa.int64()),
-                pa.array(rows, pa.int64()),
-                pa.array(starts, pa.int32()),
-                pa.array(ends, pa.int32()),
-            ],
-            names=["doc", "row", "start", "end"],
-        )
+                    out.append((doc, row, start + i, start + i + length))
+        # Only spans that overlap within a run or touch in a document follow each other.
+        docs, rows, begin, end = (np.array(x, dtype=np.int64) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 4
+        joined = np.zeros(len(docs), dtype=bool)
+        joined[1:] = (docs[1:] == docs[:-1]) & (rows[1:] == rows[:-1]) & (begin[1:] == begin[:-1] + 1)
+        joined[1:] &= end[1:] == end[:-1] + 1
+        heads = np.flatnonzero(~joined)
+        tails = np.append(heads[1:] - 1, len(docs) - 1) if len(heads) else heads
+        yield _batch(["doc", "row", "at"], docs[heads], rows[heads], _removed(begin[heads], end[tails]))
 
 
 def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         texts = batch.column(batch.num_columns - 1).cast(pa.binary())
         packed = pa.array([pack(t.as_py() or b"") for t in texts], pa.binary())
@@ -319,9 +331,10 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, sizes, removed, spans = [], [], [], []
         for packed, cuts in zip(batch.column(1), batch.column(2)):
             text = unpack(packed.as_py())
-            starts, ends = (
-                merge(*(np.array(cuts.values.field(i)) for i in (0, 1))) if cuts.is_valid else ((), ())
-            )
+            starts, ends = (), ()
+            if cuts.is_valid:
+                spans_at = -1 - cuts.values.to_numpy()
+                starts, ends = (x.tolist() for x in merge(spans_at >> 31, spans_at & 0x7FFFFFFF))
             parts, at = [], 0
             for start, end in zip(starts, ends):
                 parts.append(text[at:start])
@@ -353,27 +366,33 @@ def drop_repeated_substrings(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
         F.col(text_col).alias("text"),
-    ).withColumn("row", F.xxhash64("text"))
+    )
+    # Rows of one id are told apart by their text; mostly there are none.
+    alone = named.groupBy("doc").count().filter("count > 1").isEmpty()
+    named = named.withColumn("row", F.lit(0).cast("long") if alone else F.xxhash64("text"))
     texts = named.select("doc", "row", F.col("text").cast("binary").alias("text"))
-    cut = arrow_map(texts, partial(_run_batches, length=length, gram=gram), ROW)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_runs = cut.drop("context").withColumn("context", F.lit(None).cast("binary"))
-    sorted_runs = sorted_runs.repartition(parts, "k1").sortWithinPartitions("k1", "doc")
-    found = materialise(arrow_map(sorted_runs, _shared_batches, ROW).drop("context"), "shared-runs")
+    cut = arrow_map(texts, partial(_run_batches, length=length, gram=gram), RUNS)
+    cut = cut.repartition(parts, "k1").sortWithinPartitions("k1", "doc")
+    found = materialise(arrow_map(cut, _shared_batches, RUNS), "shared-runs")
+    copies = materialise(_copies(named, length), "copies")
     shared = (
-        found.filter("size > 0")
+        found.filter("at >= 0")
+        .join(copies, ["doc", "row"], "left_anti")
         .groupBy("doc", "row")
-        .agg(F.collect_list(F.struct(F.col("k1").alias("bucket"), "start", "size", (F.col("k2") == 1).alias("hot"))).alias("runs"))
+        .agg(F.collect_list(F.struct("k1", "at")).alias("runs"))
     )
     packed = arrow_map(texts, _pack_batches, "doc long, row long, text binary")
-    fetched = arrow_map(packed.join(shared, ["doc", "row"]), partial(_fetch_batches, length=length), ROW)
+    fetched = arrow_map(packed.join(shared, ["doc", "row"]), partial(_fetch_batches, length=length), MET)
     met = fetched.repartition(parts, "k1", "k2").sortWithinPartitions("k1", "k2", "doc")
-    resolved = arrow_map(met, partial(_resolve_batches, length=length), "doc long, row long, start int, end int")
-    known = found.filter("size < 0").select("doc", "row", "start", (F.col("start") - F.col("size")).alias("end"))
+    resolved = arrow_map(met, partial(_resolve_batches, length=length), "doc long, row long, at long")
+    whole = copies.select("doc", "row", (-1 - F.col("size")).alias("at"))
+    known = found.filter("at < 0").join(copies, ["doc", "row"], "left_anti").select("doc", "row", "at")
     cuts = (
         resolved.unionByName(known)
+        .unionByName(whole)
         .groupBy("doc", "row")
-        .agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
+        .agg(F.collect_list("at").alias("cuts"))
     )
     packed = arrow_map(
         named.select("doc_id", "doc", "row", F.col("text").cast("binary").alias("text")),
@@ -382,3 +401,19 @@ def drop_repeated_substrings(
     )
     rows = packed.join(cuts, ["doc", "row"], "left").select("doc_id", "text", "cuts")
     return arrow_map(rows, _cut_batches, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+
+
+def _copies(named: DataFrame, length: int) -> DataFrame:
+    """``(doc, row, size)`` of the texts that a smaller document has in full. They go
+    as a whole, and their runs need not be compared."""
+    size = F.octet_length("text").cast("long")
+    keyed = named.filter(size >= length).select(
+        "doc",
+        "row",
+        size.alias("size"),
+        F.xxhash64(F.lit(1), "text").alias("t1"),
+        F.xxhash64(F.lit(2), "text").alias("t2"),
+    )
+    first = keyed.groupBy("t1", "t2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    first = materialise(first.filter("first < last").select("t1", "t2", "first"), "copied")
+    return keyed.join(first, ["t1", "t2"]).filter("doc > first").select("doc", "row", "size").distinct()
