@@ -118,13 +118,16 @@ def _names(attributes: str) -> list[str]:
     return [w for m in NAMED.finditer(attributes) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower())]
 
 
-def label(found: list[tuple[str, str, bool]]) -> list[bool] | None:
-    """Whether each token lies in the content, if the page marks it."""
+def label(found: list[tuple[str, str, bool]]) -> list[bool | None] | None:
+    """Whether each token lies in the content, if the page marks it; None for the
+    excluded parts inside, which are no sign of where the content ends."""
     for name in ("article", "main"):
         opens = [i for i, (f, _, _) in enumerate(found) if f == name or f.startswith(f"{name}.")]
         ends = [i for i, (f, _, _) in enumerate(found) if f == f"/{name}"]
         if len(opens) == 1 and len(ends) == 1 and opens[0] < ends[0]:
-            return [opens[0] < i < ends[0] and content for i, (_, _, content) in enumerate(found)]
+            return [
+                (content or None) if opens[0] < i < ends[0] else False for i, (_, _, content) in enumerate(found)
+            ]
     return None
 
 
@@ -139,7 +142,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             found = tokens(page.as_py() or "")
             marked = label(found)
             for (feature, text, _), content in zip(found, marked or ()):
-                (inside if content else outside)[feature] += _size(feature, text)
+                if content is not None:
+                    (inside if content else outside)[feature] += _size(feature, text)
     names = sorted(inside.keys() | outside.keys())
     yield pa.RecordBatch.from_arrays(
         [pa.array(names, pa.string())]

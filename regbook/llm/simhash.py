@@ -92,7 +92,7 @@ def _bucket_keys(prints: DataFrame, max_bits: int, segments: int) -> DataFrame:
         turned = F.shiftrightunsigned(ring, first * width).bitwiseOR(
             F.shiftleft(ring, 64 - first * width) if first else F.lit(0)
         )
-        key = turned.bitwiseAND(F.lit((1 << (equal * width)) - 1))
+        key = turned if equal == segments else turned.bitwiseAND(F.lit((1 << (equal * width)) - 1))
         keys.append(F.struct(F.lit(first).alias("first"), key.alias("key")))
     return prints.select("fingerprint", F.explode(F.array(*keys)).alias("k")).select(
         "fingerprint", "k.first", "k.key"
