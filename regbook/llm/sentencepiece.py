@@ -33,8 +33,7 @@ BLANK = "▁"
 # A blank run with what follows it, a line end, or a word at the start of a line.
 CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
-MEMORY = 2_000_000
-BYTE = -1
+MEMORY = 300_000
 
 
 @dataclass
@@ -84,7 +83,7 @@ class Vocabulary:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.whole: dict[str, bool] = {}
         # The longest piece that ends in given characters bounds the search.
         self.longest: dict[str, int] = {}
@@ -114,48 +113,49 @@ class Encoder:
             found = self.whole[piece] = self.merge(piece) == [piece]
         return found
 
-    def _pair(self, left: str, right: str) -> bool:
-        found = self.fits.get((left, right))
+    def _pair(self, left: int, right: int) -> bool:
+        """Whether BPE leaves the two pieces as they are, side by side. Nothing merges
+        with a character that has no piece (-1)."""
+        if left < 0:
+            return True
+        key = left * len(self.v.pieces) + right
+        found = self.fits.get(key)
         if found is None:
             if len(self.fits) > MEMORY:
                 self.fits.clear()
-            found = self.fits[left, right] = self.merge(left + right) == [left, right]
+            parts = [self.v.pieces[left], self.v.pieces[right]]
+            found = self.fits[key] = self.merge("".join(parts)) == parts
         return found
 
-    def _next_bpe(self, word: str, end: int, states: list) -> tuple[str, int]:
+    def _next_bpe(self, word: str, end: int, states: list) -> tuple[int, int]:
         """The last piece of the encoding of ``word[:end]`` and where it starts."""
         ids = self.v.ids
         most = self.longest.get(word[end - 2 : end], 1) if end > 1 else 1
         for start in range(max(0, end - most), end):
             piece = word[start:end]
-            if piece in ids and self._stable(piece) and (start == 0 or self._pair(states[start][0], piece)):
-                return piece, start
-        return word[end - 1], end - 1
+            number = ids.get(piece)
+            if number is not None and self._stable(piece) and (start == 0 or self._pair(states[start][0], number)):
+                return number, start
+        return -1, end - 1
 
-    def _next_unigram(self, word: str, end: int, states: list) -> tuple[str, int, float]:
+    def _next_unigram(self, word: str, end: int, states: list) -> tuple[int, int, float]:
         """The best last piece of ``word[:end]``, where it starts, the total score."""
         ids, scores = self.v.ids, self.v.scores
         before = states[end - 1][2] if end > 1 else 0.0
         single = word[end - 1]
-        best = (single, end - 1, before + (scores[ids[single]] if single in ids else self.lowest - 10.0))
+        number = ids.get(single, -1)
+        best = (number, end - 1, before + (scores[number] if number >= 0 else self.lowest - 10.0))
         most = max(self.longest.get(word[end - 2 : end], 1), 1) if end > 1 else 1
         for start in range(max(0, end - most), end - 1):
             number = ids.get(word[start:end])
             if number is not None:
                 total = (states[start][2] if start else 0.0) + scores[number]
                 if total > best[2]:
-                    best = (word[start:end], start, total)
+                    best = (number, start, total)
         return best
 
-    def _numbers(self, pieces: list[str]) -> list[int]:
-        out = []
-        for piece in pieces:
-            number = self.v.ids.get(piece)
-            if number is not None:
-                out.append(number)
-            else:
-                out += [self.v.byte_ids.get(b, 0) for b in piece.encode("utf-8", "surrogatepass")]
-        return out
+    def _bytes(self, text: str) -> list[int]:
+        return [self.v.byte_ids.get(b, 0) for b in text.encode("utf-8", "surrogatepass")]
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Piece numbers of sorted distinct words, walked as a trie."""
@@ -167,7 +167,8 @@ class Encoder:
             if not self.v.unigram and word.startswith(BLANK * 2):
                 # Pieces of blanks alone all have one score, so what counts between
                 # them is their place in the whole run.
-                out.append(self._numbers(self.merge(word)))
+                found = [(self.v.ids.get(p, -1), p) for p in self.merge(word)]
+                out.append([i for n, p in found for i in ([n] if n >= 0 else self._bytes(p))])
                 continue
             shared = 0
             for a, b in zip(previous, word):
@@ -178,11 +179,12 @@ class Encoder:
             for end in range(shared + 1, len(word) + 1):
                 states.append(step(word, end, states))
             previous = word
-            pieces, end = [], len(word)
+            numbers, end = [], len(word)
             while end:
-                pieces.append(states[end][0])
-                end = states[end][1]
-            out.append(self._numbers(pieces[::-1]))
+                number, start = states[end][:2]
+                numbers += [number] if number >= 0 else self._bytes(word[start:end])[::-1]
+                end = start
+            out.append(numbers[::-1])
         return out
 
 

@@ -31,7 +31,7 @@ from .common import arrow_map
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 32
 # Pre-tokens a worker remembers before it starts afresh.
-MEMORY = 500_000
+MEMORY = 150_000
 CHARS, TOKENS, PRE = range(3)
 
 
