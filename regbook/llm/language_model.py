@@ -42,6 +42,8 @@ MIN_TRUSTED = 20
 ANY = "*"
 # Characters worked on at once.
 CHUNK = 1 << 20
+# Trusted ids that are sent to all workers (32 MB); more are met in a merge join.
+BROADCAST_IDS = 4_000_000
 START, STOP = "\x02", "\x03"
 # Bins per unit of log-perplexity.
 FINE = 1024
@@ -350,6 +352,9 @@ def classify(
         F.col(text_col).alias("text"),
     )
     trusted_ids = trusted_ids.select(F.col(trusted_ids.columns[0]).cast("long").alias("doc_id")).distinct()
+    trusted_ids = materialise(trusted_ids, "trusted")
+    if trusted_ids.count() <= BROADCAST_IDS:
+        trusted_ids = F.broadcast(trusted_ids)
     held_out = trusted_ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     counted = trusted_ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) != 0)
     trusted = rows.join(counted, "doc_id", "left_semi").select("lang", "text")
