@@ -35,11 +35,13 @@ MIN_PLAIN = 5
 # Hashes sent to the workers at once (32 MB).
 BLOCK = 4_000_000
 # Words a worker remembers before it starts afresh.
-MEMORY = 500_000
+MEMORY = 150_000
+# Texts worked on at once.
+ROWS = 500
 
 # Units of measure and of currency, written after or against a number.
 UNITS = frozenset(
-    "% $ € £ ¥ ° °c °f mm cm m km in ft yd mi mg g kg t lb oz ml l s ms sec secs second seconds "
+    "% $ € £ ¥ ° °c °f mm cm m km ft yd mg g kg t lb oz ml l s ms sec secs second seconds "
     "min mins minute minutes h hr hrs hour hours day days week weeks month months year years "
     "mph kph km/h m/s hz khz mhz ghz w kw mw v a j kj cal kcal n pa kpa usd eur gbp dollar "
     "dollars euro euros pound pounds cent cents percent degree degrees inch inches foot feet "
@@ -133,7 +135,7 @@ def _window_batches(
     batches: Iterator[pa.RecordBatch], window: int, min_plain: int, wanted: np.ndarray | None
 ) -> Iterator[pa.RecordBatch]:
     words = Words()
-    for batch in batches:
+    for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
         keys, starts, found, slots = [], [], [], []
         templates = words.templates(batch.column(1).to_pylist())
         for key, (hashes, values, kinds) in zip(batch.column(0).to_pylist(), templates):

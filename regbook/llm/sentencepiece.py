@@ -18,6 +18,7 @@ Every task works alone on its batches: no shuffle, and memory bounded by the bat
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -157,18 +158,17 @@ class Encoder:
     def _bytes(self, text: str) -> list[int]:
         return [self.v.byte_ids.get(b, 0) for b in text.encode("utf-8", "surrogatepass")]
 
-    def encode_sorted(self, words: list[str]) -> list[list[int]]:
+    def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Piece numbers of sorted distinct words, walked as a trie."""
         step = self._next_unigram if self.v.unigram else self._next_bpe
         states: list = [None]
         previous = ""
-        out = []
         for word in words:
             if not self.v.unigram and word.startswith(BLANK * 2):
                 # Pieces of blanks alone all have one score, so what counts between
                 # them is their place in the whole run.
                 found = [(self.v.ids.get(p, -1), p) for p in self.merge(word)]
-                out.append([i for n, p in found for i in ([n] if n >= 0 else self._bytes(p))])
+                yield [i for n, p in found for i in ([n] if n >= 0 else self._bytes(p))]
                 continue
             shared = 0
             for a, b in zip(previous, word):
@@ -184,8 +184,7 @@ class Encoder:
                 number, start = states[end][:2]
                 numbers += [number] if number >= 0 else self._bytes(word[start:end])[::-1]
                 end = start
-            out.append(numbers[::-1])
-        return out
+            yield numbers[::-1]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -212,13 +211,17 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -
             chunks = CHUNKS.findall(_marked(text.as_py() or ""))
             docs.append(np.array([numbers.setdefault(c, len(numbers)) for c in chunks], dtype=np.int32))
         words = sorted(numbers)
-        encoded = encoder.encode_sorted(words)
         place = np.empty(len(words), dtype=np.int64)
-        place[[numbers[w] for w in words]] = np.arange(len(words))
-        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(words))
+        place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+        del numbers
+        # Flat arrays: a list per word would cost several times the text.
+        packed, sizes = array("i"), array("i")
+        for ids in encoder.encode_sorted(words):
+            packed.extend(ids)
+            sizes.append(len(ids))
+        del words
+        flat, sizes = np.array(packed, dtype=np.int32), np.array(sizes, dtype=np.int64)
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        flat = np.fromiter((i for e in encoded for i in e), dtype=np.int32, count=int(starts[-1]))
-        del encoded, numbers, words
         lists, ends = [], [0]
         for doc in docs:
             at = place[doc]

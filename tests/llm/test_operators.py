@@ -162,7 +162,7 @@ def test_quality_counts_and_verdicts(spark, odd, empty):
 
 
 def test_contamination(spark, odd, empty):
-    item = "Yesterday Alice drove 120 km in 3 hours on Monday and wants to know how fast the car of Alice was going"
+    item = "Yesterday the driver named Alice went along the river for 120 km in 3 hours on Monday and wants to know how fast the car of Alice was going"
     again = item.replace("120", "480").replace("3", "6").replace("Alice", "Robert").replace("Monday", "Friday")
     broken = again.replace("of Robert", "of Peter")
     benchmark = make(spark, [(1, item), (2, None), (None, ""), (1, item)], "item_id long, text string")
@@ -206,7 +206,7 @@ def test_unigram_is_the_best_split():
             return 0.0
         return max(scores[pieces.index(p)] + best(word[len(p) :]) for p in pieces if word.startswith(p))
 
-    for word, ids in zip(words, sentencepiece.Encoder(vocabulary).encode_sorted(words)):
+    for word, ids in zip(words, sentencepiece.Encoder(vocabulary).encode_sorted(words), strict=True):
         assert "".join(pieces[i] for i in ids) == word
         assert sum(scores[i] for i in ids) == pytest.approx(best(word))
 
