@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,8 +34,8 @@ def write_results(
             result = results[name]
             df = result() if callable(result) else result
             write_delimited(df, f"{base_path}/{prefix}{name}", single_file=name not in many_files)
-        except (PySparkException, Py4JError) as error:
-            return str(name), "failed", str(error)
+        except Exception as error:  # any fault of one result must not cost the others
+            return str(name), "failed", str(error) or type(error).__name__
         return str(name), "written", None
 
     with ThreadPoolExecutor(parallel) as pool:

@@ -193,7 +193,7 @@ GROUP BY i, low, step, total, h"""
 
 
 def _correlation_sql() -> str:
-    columns = ("AGE", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT", "REG_YEAR", "REG_MONTH")
+    columns = ("MAKE_YEAR", "AGE", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT", "REG_YEAR", "REG_MONTH")
     return _on_view(_union(
         f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 8) AS corr FROM clean"
         for x in columns for y in columns
@@ -273,6 +273,9 @@ def _operators() -> dict[str, str]:
         "histogram": _histogram_sql(),
         "density": _density_sql(),
         "correlation": _correlation_sql(),
+        "sink_error_report": """SELECT name, status, CASE name WHEN 'flags' THEN n END AS "rows"
+            FROM (VALUES ('flags', 'written'), ('state', 'failed'), ('key', 'failed')) AS r(name, status),
+                 (SELECT count(*) AS n FROM lineitem)""",
         "count_by": 'SELECT event_type, user_id, count(*) AS "count" FROM events GROUP BY 1, 2',
         "mean_by": "SELECT event_type, round(avg(value), 1) AS mean_value FROM events GROUP BY 1",
         "sum_by": "SELECT l_suppkey, sum(l_quantity) AS total_quantity FROM lineitem GROUP BY 1",

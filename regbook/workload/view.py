@@ -61,25 +61,21 @@ OPERATION_ROWS = (("1", "transfer"), ("2", "first"), ("3", "lease"))
 
 
 def raw_rows(spark: SparkSession, folder: str, columns: Iterable[str] = RAW_COLUMNS) -> DataFrame:
-    """The requested raw columns, joining only the tables they come from: every line item
-    has exactly one order, part and customer, so an unused join would change nothing."""
-    columns = list(columns)
+    """The requested raw columns of the view: line items with their order, part and
+    customer. All joins are done for any columns; an item that lacks one of them is not
+    in the view. Columns that nobody asks for are pruned from the scans."""
 
     def rows_of(table: str, *keys: str) -> DataFrame:
         # Columns are computed before the join, on the smaller table.
-        own = [f"{e.format(text='string')} AS {c}" for c in columns for e, t in [_COLUMNS[c]] if t == table]
+        own = [f"{e.format(text='string')} AS {c}" for c, (e, t) in _COLUMNS.items() if t == table]
         return read_table(spark, folder, table).selectExpr(*keys, *own)
 
-    tables = {_COLUMNS[c][1] for c in columns}
+    orders = rows_of("orders", "o_orderkey", "o_custkey").join(
+        rows_of("customer", "c_custkey"), F.col("o_custkey") == F.col("c_custkey")
+    )
     rows = rows_of("lineitem", "l_orderkey", "l_partkey")
-    if tables & {"orders", "customer"}:
-        orders = rows_of("orders", "o_orderkey", "o_custkey")
-        if "customer" in tables:
-            customer = rows_of("customer", "c_custkey")
-            orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if "part" in tables:
-        rows = rows.join(rows_of("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.join(rows_of("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
     return rows.select(*columns)
 
 
