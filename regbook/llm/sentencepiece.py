@@ -35,6 +35,8 @@ BLANK = "▁"
 CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
 MEMORY = 300_000
+# Texts whose words share a trie; a batch of long ones is bounded in bytes before.
+ROWS = 1_500
 
 
 @dataclass
@@ -204,7 +206,7 @@ def _marked(text: str) -> str:
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary)
-    for batch in batches:
+    for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
         numbers: dict[str, int] = {}
         docs = []
         for text in batch.column(1):
