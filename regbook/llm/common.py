@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,18 @@ BATCH_BYTES = 16 << 20
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def _tidy(
+    batches: Iterator[pa.RecordBatch], function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+) -> Iterator[pa.RecordBatch]:
+    """``function``, and at its end the memory it has freed goes back to the machine:
+    a worker that waits for its next task keeps all it ever had otherwise."""
+    yield from function(batches)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -21,7 +35,7 @@ def arrow_map(
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if name not in spark.conf.getAll:
         spark.conf.set(name, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(partial(_tidy, function=function), schema)
 
 
 def blank_null(column: str) -> Column:

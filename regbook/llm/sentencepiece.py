@@ -36,7 +36,7 @@ CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
 MEMORY = 300_000
 # Texts whose words share a trie; a batch of long ones is bounded in bytes before.
-ROWS = 3_000
+ROWS = 1_000
 
 
 @dataclass
