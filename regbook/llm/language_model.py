@@ -16,6 +16,7 @@ what the ``KEEP`` quantile of its language's trusted documents allows. Of these,
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -176,21 +177,23 @@ def _pair(codes: np.ndarray) -> np.ndarray:
 
 def _key_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, owners = [], []
-        for lang, kind, gram in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            codes = np.frombuffer(gram.encode("utf-32-le", "surrogatepass"), np.uint32)
-            n = len(codes)
-            hashed = refine(_letters(codes), 1, n)[0] if n else np.uint64(0)
-            keys.append(int(mix(np.array([hashed ^ np.uint64(_seed(lang, kind, n))]))[0] | np.uint64(1)))
-            context = codes[: n - 1] if kind == "p" else codes
-            # Short contexts are asked for everywhere.
-            owners.append(int(_pair(context[-2:])[0] % np.uint64(shards)) if len(context) > 1 else -1)
+        # Grams of one language, kind and length are hashed together, end to end.
+        alike = defaultdict(list)
+        grams = batch.column(2).to_pylist()
+        for i, (lang, kind, gram) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), grams)):
+            alike[lang, kind, len(gram)].append(i)
+        keys = np.empty(len(grams), dtype=np.uint64)
+        # Short contexts are asked for everywhere.
+        owners = np.full(len(grams), -1, dtype=np.int32)
+        for (lang, kind, n), places in alike.items():
+            codes = np.frombuffer("".join(grams[i] for i in places).encode("utf-32-le", "surrogatepass"), np.uint32)
+            hashed = refine(_letters(codes), 1, n)[::n] if n else np.zeros(len(places), np.uint64)
+            keys[places] = mix(hashed ^ np.uint64(_seed(lang, kind, n))) | np.uint64(1)
+            context = n - 1 if kind == "p" else n
+            if context > 1:
+                owners[places] = _pair(codes)[context - 2 :: n] % np.uint64(shards)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)),
-                pa.array(owners, pa.int32()),
-                batch.column(3).cast(pa.float32()),
-            ],
+            [pa.array(keys.view(np.int64)), pa.array(owners), batch.column(3).cast(pa.float32())],
             names=["key", "shard", "value"],
         )
 
