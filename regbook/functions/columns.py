@@ -24,7 +24,7 @@ def _may_be_nan(df: DataFrame, name: str) -> bool:
 
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN where the type has one."""
-    column = F.col(name)
+    column = F.col(f"`{name.replace('`', '``')}`")
     return column.isNull() | F.isnan(column) if _may_be_nan(df, name) else column.isNull()
 
 

@@ -7,7 +7,7 @@ deviation; they return to the plan as literals.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
@@ -29,10 +29,18 @@ class _Extent:
     spread: float | None
 
 
+def _finite(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Numbers that have a place on an axis; NaN and infinite values become NULL."""
+    numbers = as_numbers(df, columns)
+    return numbers.select(
+        *[F.when(F.abs(c) < F.lit(math.inf), F.col(c)).alias(c) for c in numbers.columns]
+    )
+
+
 def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, _Extent]:
     """Extent of each column that has a value."""
     row = (
-        as_numbers(df, columns)
+        _finite(df, columns)
         .agg(
             *[
                 F.struct(F.count(c), F.min(c), F.max(c), F.stddev_samp(c)).alias(c)
@@ -54,10 +62,10 @@ def _edges(low: float, high: float, bins: int) -> tuple[float, float]:
 def _binned(df: DataFrame, extents: dict[str, _Extent], bins: Mapping[str, int]) -> DataFrame:
     """(column, bin, count, mean) for the bins that hold a value. Bins are zero-based and
     half-open, and the last one includes its right edge."""
-    values = as_numbers(df, extents)
+    values = _finite(df, extents)
     edges = {c: (*_edges(e.low, e.high, bins[c]), bins[c] - 1) for c, e in extents.items()}
     guesses = {
-        f"__guess_{c}": F.least(F.floor((F.col(c) - low) / width), F.lit(last)).cast("int")
+        f"__guess_{c}": F.least(F.floor((F.col(c) - low) / width), F.lit(last))
         for c, (low, width, last) in edges.items()
     }
     # The division may land next to the right bin; the edges themselves decide.
@@ -81,7 +89,7 @@ def _binned(df: DataFrame, extents: dict[str, _Extent], bins: Mapping[str, int])
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30) -> DataFrame:
     """Equal-width bins between each column's minimum and maximum, empty ones included.
 
-    Output: (column, bin, lower, upper, count). Missing values are left out.
+    Output: (column, bin, lower, upper, count). Missing and infinite values are left out.
     """
     extents = _extents(df, columns or numeric_columns(df))
     frame = []
@@ -94,6 +102,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     if not extents:
         return edges.withColumn("count", F.lit(0).cast("bigint"))
     counts = _binned(df, extents, dict.fromkeys(extents, bins)).drop("mean")
+    counts = counts.withColumn("bin", F.col("bin").cast("int"))
     # The counts have at most one row per column and bin.
     filled = edges.join(F.broadcast(counts), ["column", "bin"], "left")
     return filled.withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
@@ -110,7 +119,7 @@ def density(
     The kernel is summed over fine bins, each represented by the mean of its values, so
     the work after one pass over the data is grid x bins; bins are narrow against the
     bandwidth, which shrinks as the data grows. ``bandwidth`` defaults to Scott's rule.
-    Columns without spread have no curve. Output: (column, point, x, density).
+    Columns without spread have no curve; missing and infinite values are left out. Output: (column, point, x, density).
     """
     extents = {
         c: e for c, e in _extents(df, columns or numeric_columns(df)).items() if e.n > 1 and e.spread

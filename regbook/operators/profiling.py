@@ -6,17 +6,24 @@ are; the single result row is then unfolded into a long table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_numbers, is_missing, numeric_columns, text_columns
+from ..storage import materialise
 from .quantiles import SKETCH_ACCURACY, exact_quantiles
 
 _QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
+def _quoted(name: str) -> str:
+    """A column name as it is, dots and backticks included."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def _unfold(row: DataFrame, records: Sequence[Column]) -> DataFrame:
     """One output row per struct; all structs have the same fields."""
     return row.select(F.inline(F.array(*records)))
@@ -43,10 +50,10 @@ def profile_schema(df: DataFrame) -> DataFrame:
 def profile_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values (NULL or NaN) per column."""
     columns = list(columns or df.columns)
-    counts = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in columns])
+    counts = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(columns)])
     return _unfold(
         counts,
-        [F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in columns],
+        [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_missing")) for i, c in enumerate(columns)],
     )
 
 
@@ -98,67 +105,82 @@ def profile_categories(
     listed value by value with exact counts; of the others an approximate distinct count
     (NULL excluded) and ``sample`` of their values are given.
 
-    Output: (column, listed, n_distinct, value, count). The first pass keeps a sketch and
-    a few values per column; only columns the sketch shows to be narrow are grouped, so
-    identifier-like columns are never shuffled.
+    Output: (column, listed, n_distinct, value, count). The first pass keeps one sketch
+    per column. Only columns it shows to be narrow are grouped by value, so identifiers
+    are never shuffled; of the others tasks exchange hashes, and whole values are read
+    only where they are the sample.
     """
     columns = list(columns or text_columns(df))
-    summary = _sketch(df, columns, sample)
-    sketches = {r["column"]: (r["n_distinct"], r["sample"]) for r in summary}
-    # A sketch of this size cannot read twice the true number of so few values.
-    narrow = [c for c in columns if sketches[c][0] <= 2 * max_values]
-    wide = _samples(df, {c: sketches[c] for c in columns if c not in narrow})
+    df = df.select(*[F.col(_quoted(c)) for c in columns])
+    registers, error = _sketch_size(max_values)
+    row = df.agg(*[F.approx_count_distinct(_quoted(c), error) for c in columns]).first()
+    estimates = dict(zip(columns, row))
+    # n values fill at most n registers, so n values cannot read more than this.
+    limit = math.ceil(registers * math.log(registers / (registers - max_values)))
+    narrow = [c for c in columns if estimates[c] <= limit]
     if not narrow:
-        return wide
-    counted = (
-        df.select(*narrow)
-        .unpivot([], narrow, "column", "value")
+        return _samples(df, estimates, sample)
+    counted = materialise(
+        df.select(*[F.col(_quoted(c)) for c in narrow])
+        .unpivot([], [_quoted(c) for c in narrow], "column", "value")
         .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("n_distinct", F.count(F.lit(1)).over(Window.partitionBy("column")))
+        .agg(F.count(F.lit(1)).alias("count")),
+        "categories",
+    )
+    sizes = dict(counted.groupBy("column").count().collect())
+    listed = [c for c in narrow if 0 < sizes.get(c, 0) <= max_values]
+    exact = counted.filter(F.col("column").isin(listed)).withColumn(
+        "n_distinct", F.count(F.lit(1)).over(Window.partitionBy("column"))
     )
-    listed = counted.filter(F.col("n_distinct") <= max_values)
-    over = counted.filter(F.col("n_distinct") > max_values).select("column").distinct()
-    borderline = _samples(df, {c: sketches[c] for c in narrow}).join(over, "column", "left_semi")
-    listing = listed.select("column", F.lit(True).alias("listed"), "n_distinct", "value", "count")
-    return listing.unionByName(borderline).unionByName(wide)
+    listing = exact.select("column", F.lit(True).alias("listed"), "n_distinct", "value", "count")
+    wide = {c: n for c, n in estimates.items() if c not in narrow or sizes.get(c, 0) > max_values}
+    return listing.unionByName(_samples(df, wide, sample)) if wide else listing
+
+
+def _sketch_size(max_values: int) -> tuple[int, float]:
+    """Registers of a distinct-count sketch that counts ``max_values`` by its empty
+    registers (at least three in four stay empty), and its relative standard deviation."""
+    bits = max(9, math.ceil(math.log2(4 * max_values)))
+    return 2**bits, 1.1061 / 2 ** (bits / 2)
 
 
-def _sketch(df: DataFrame, columns: Sequence[str], sample: int) -> list:
-    """Approximate distinct count and a few distinct values per column, in one pass.
+def _samples(df: DataFrame, estimates: Mapping[str, int], sample: int) -> DataFrame:
+    """Rows of the category profile for columns that are not listed.
 
-    Values are split into hash classes and each class keeps its smallest, so the sample
-    is the same however the rows are partitioned.
+    Hashes are split into classes and each class keeps its smallest, so the sample is the
+    same however the rows are partitioned.
     """
     classes = 2 * sample
-    keyed = df.select(
-        *columns, *[F.pmod(F.xxhash64(c), F.lit(classes)).alias(f"__class_{c}") for c in columns]
-    )
-    measures = []
-    for c in columns:
-        smallest = [
-            F.min(F.when(F.col(f"__class_{c}") == i, F.col(c))) for i in range(classes)
-        ]
-        measures.append(
-            F.struct(
-                F.approx_count_distinct(c).alias("n_distinct"),
-                F.slice(F.array_sort(F.array_compact(F.array(*smallest))), 1, sample).alias("sample"),
-            ).alias(c)
+    names = list(estimates)
+    hashes = df.select(*[F.xxhash64(_quoted(c)).alias(f"h{i}") for i, c in enumerate(names)])
+    smallest = [
+        F.array(
+            *[F.min(F.when(F.pmod(f"h{i}", F.lit(classes)) == k, F.col(f"h{i}"))) for k in range(classes)]
         )
-    records = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"`{c}`.n_distinct").alias("n_distinct"),
-            F.col(f"`{c}`.sample").alias("sample"),
-        )
-        for c in columns
+        for i in range(len(names))
     ]
-    return _unfold(keyed.agg(*measures), records).collect()
-
-
-def _samples(df: DataFrame, sketches: dict) -> DataFrame:
-    """The sketched columns as rows of the category profile."""
-    rows = [(c, False, n, v, None) for c, (n, values) in sketches.items() for v in values]
-    return df.sparkSession.createDataFrame(
-        rows, "column string, listed boolean, n_distinct bigint, value string, count bigint"
+    null = df.sparkSession.range(1).select(F.xxhash64(F.lit(None).cast("string"))).first()[0]
+    # A few columns at a time, so that the aggregates stay small enough to compile.
+    found = [a for i in range(0, len(names), 5) for a in hashes.agg(*smallest[i : i + 5]).first()]
+    chosen = [[h for h in array if h is not None and h != null][:sample] for array in found]
+    picked = df.select(
+        *[
+            F.when(F.xxhash64(_quoted(c)).isin(some), F.col(_quoted(c))).alias(f"v{i}")
+            for i, (c, some) in enumerate(zip(names, chosen))
+        ]
+    )
+    labels = F.array(*[F.lit(c) for c in names])
+    counts = F.array(*[F.lit(estimates[c]).cast("bigint") for c in names])
+    index = F.substring("column", 2, 9).cast("int")
+    return (
+        picked.unpivot([], picked.columns, "column", "value")
+        .filter(F.col("value").isNotNull())
+        .distinct()
+        .select(
+            F.get(labels, index).alias("column"),
+            F.lit(False).alias("listed"),
+            F.get(counts, index).alias("n_distinct"),
+            "value",
+            F.lit(None).cast("bigint").alias("count"),
+        )
     )

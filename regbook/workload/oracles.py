@@ -159,6 +159,22 @@ def _numeric_sql() -> str:
     )
 
 
+def _numeric_approx_sql() -> str:
+    return f"""SELECT "column", metric, CASE WHEN metric NOT LIKE '%\\%' ESCAPE '\\' THEN value END AS value,
+  CASE WHEN metric LIKE '%\\%' ESCAPE '\\' THEN true END AS within FROM ({_numeric_sql()})"""
+
+
+def _categories_sql(table: str, columns) -> str:
+    """What a category profile with 20 values and samples of 5 has to show per column."""
+    return _union(
+        f"""SELECT '{c}' AS "column", n <= 20 AS listed, exact, CASE WHEN n <= 20 THEN n ELSE 5 END AS n_values,
+  CASE WHEN n <= 20 THEN n ELSE 5 END AS n_present, true AS within
+FROM (SELECT count(DISTINCT {c}) AS exact, count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n
+  FROM {table})"""
+        for c in columns
+    )
+
+
 def _binned(column: str, bins: int) -> str:
     """Subquery (bin, v) with the bin corrected against its edges."""
     return f"""SELECT CASE WHEN v < low + guess * width THEN guess - 1
@@ -268,7 +284,12 @@ def _operators() -> dict[str, str]:
                 UNION ALL
                 SELECT 'source', source, count(*) FROM documents GROUP BY source))
             SELECT "column", true AS listed, n_distinct, value, "count" FROM counted WHERE n_distinct <= 20""",
+        "profile_categories_wide": _categories_sql("part", ("p_name", "p_brand", "p_type")),
+        "profile_categories_documents": _categories_sql("documents", ("text", "lang", "source")),
+        "profile_categories_registry": _on_view(_categories_sql("raw", [c for c in RAW_COLUMNS if c not in {
+            "D_REG", "MAKE_YEAR", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT"}])),
         "profile_numeric": _numeric_sql(),
+        "profile_numeric_approx": _numeric_approx_sql(),
         "profile_missing": _missing_sql(),
         "histogram": _histogram_sql(),
         "density": _density_sql(),

@@ -8,8 +8,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import text_columns
 from ..functions.parsing import parse_decimal, parse_short_date
 from ..operators import aggregates, cleaning, distribution, labels, outliers, profiling, ranking
+from ..operators.quantiles import SKETCH_ACCURACY
 from ..plans.cleaning import CleaningConfig, apply_cleaning, audit_cleaning, fit_cleaning
 from ..plans.questions import QUESTIONS
 from ..schema import CLEAN_COLUMNS, SENTINELS
@@ -253,8 +255,38 @@ def profile_categories(spark, folder):
     return profiling.profile_categories(documents, ["lang", "source"])
 
 
+def _checked_categories(df: DataFrame) -> DataFrame:
+    """The category profile against the exact distinct counts, one row per column: how
+    many values it gives, how many of them are in the column, and whether its distinct
+    count is within four standard deviations of the sketch."""
+    columns = text_columns(df)
+    profile = profiling.profile_categories(df, columns)
+    given = profile.select("column", "value").distinct()
+    values = df.select(*columns).unpivot([], columns, "column", "value")
+    present = values.join(
+        F.broadcast(given.withColumnsRenamed({"column": "c", "value": "v"})),  # at most 20 values a column
+        (F.col("column") == F.col("c")) & F.col("value").eqNullSafe(F.col("v")),
+        "left_semi",
+    ).distinct()
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+    shown = profile.groupBy("column", "listed", "n_distinct").agg(F.count(F.lit(1)).alias("n_values"))
+    found = present.groupBy("column").agg(F.count(F.lit(1)).alias("n_present"))
+    within = F.col("listed") | (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.2 * F.col("exact"))
+    return shown.join(exact, "column").join(found, "column").select(
+        "column", "listed", "exact", "n_values", "n_present", within.alias("within")
+    )
+
+
 def profile_categories_wide(spark, folder):
-    return profiling.profile_categories(read_table(spark, folder, "part"))
+    return _checked_categories(read_table(spark, folder, "part"))
+
+
+def profile_categories_documents(spark, folder):
+    return _checked_categories(read_table(spark, folder, "documents"))
+
+
+def profile_categories_registry(spark, folder):
+    return _checked_categories(raw_rows(spark, folder))
 
 
 def profile_numeric(spark, folder):
@@ -263,7 +295,24 @@ def profile_numeric(spark, folder):
 
 
 def profile_numeric_approx(spark, folder):
-    return profiling.profile_numeric(read_table(spark, folder, "lineitem"), MEASURES, "approx")
+    """The summary with approximate quartiles; of these, whether the rank is right within
+    the error that the sketch promises."""
+    items = read_table(spark, folder, "lineitem")
+    profile = profiling.profile_numeric(items, MEASURES, "approx").collect()  # 8 rows a column
+    fractions = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    error = 1.0 / SKETCH_ACCURACY
+    records = []
+    for r in profile:
+        within, value = F.lit(None).cast("boolean"), F.round(F.lit(r.value), 6)
+        if r.metric in fractions:
+            share = fractions[r.metric] * F.count(r.column)
+            slack = error * F.count(r.column) + 1
+            column = F.col(r.column)
+            within = (F.count_if(column < r.value) <= share + slack) & (F.count_if(column <= r.value) >= share - slack)
+            value = F.lit(None).cast("double")
+        fields = (F.lit(r.column), F.lit(r.metric), value, within)
+        records.append(F.struct(*[f.alias(n) for f, n in zip(fields, ("column", "metric", "value", "within"))]))
+    return items.agg(F.array(*records).alias("r")).select(F.inline("r"))
 
 
 def profile_missing(spark, folder):
@@ -376,6 +425,8 @@ _OPERATORS: tuple[Query, ...] = (
     profile_columns,
     profile_categories,
     profile_categories_wide,
+    profile_categories_documents,
+    profile_categories_registry,
     profile_numeric,
     profile_numeric_approx,
     profile_missing,

@@ -13,7 +13,7 @@ from regbook.workload.view import clean_rows, raw_rows
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = all_queries(), all_oracles()
-ROWS_ONLY = {"iqr_filter_approx", "profile_categories_wide", "profile_numeric_approx"}
+ROWS_ONLY = {"iqr_filter_approx"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 

@@ -48,6 +48,22 @@ def test_categories_at_the_boundary(spark):
         assert all(df.filter(F.col(name) == v).count() for v in values)
 
 
+@pytest.mark.parametrize("distinct", [20, 21, 39, 41, 60])
+def test_categories_are_listed_up_to_the_limit(spark, distinct):
+    df = spark.range(3000).select(F.concat(F.lit("v"), F.col("id") % distinct).alias("a.b"))
+    listed, n, values = categories(df)["a.b"]
+    assert listed == (distinct <= 20) and len(values) == (20 if listed else 5)
+    assert abs(n - distinct) <= 0.2 * distinct
+    assert {r.column: r.n_missing for r in profiling.profile_missing(df).collect()} == {"a.b": 0}
+
+
+def test_infinite_values_have_no_bin(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (math.inf,), (-math.inf,)], "v double")
+    assert [r["count"] for r in distribution.histogram(df, bins=2).orderBy("bin").collect()] == [1, 1]
+    assert distribution.density(df).count() == 200
+    assert distribution.density(df, bandwidth=1e-10).count() == 200
+
+
 def test_category_sample_does_not_depend_on_partitions(spark):
     df = spark.range(3000).select(F.concat(F.lit("x"), "id").alias("c"))
     assert categories(df.repartition(1)) == categories(df.repartition(7))
