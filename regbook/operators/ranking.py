@@ -1,7 +1,7 @@
 """Top-k, leaders, first rows and running figures.
 
 Row data is aggregated before any ranking window sees it, so a window's partition holds
-one row per distinct value rather than one row per record.
+one row per distinct value rather than one row per record. Group totals need no window.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import count_by
-from .groups import with_group_values
+from .groups import group_table, with_group_values
 
 
 def top_groups(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -82,11 +82,14 @@ def gap_to_group_min(
     return lowest.withColumn(name, F.col(column) - F.col("__lowest")).drop("__lowest")
 
 
-def share_within(df: DataFrame, group: str, item: str, digits: int = 2) -> DataFrame:
-    """Count of each item, the total of its group and the percentage."""
-    total = F.sum("count").over(Window.partitionBy(group))
+def share_within(
+    df: DataFrame, group: str, item: str, digits: int = 2, limit: int | None = None
+) -> DataFrame:
+    """Count of each item, the total of its group and the percentage. Totals are joined
+    to the counts, so a group may have any number of items."""
+    totals = group_table(df, [group], {"total": F.count(F.lit(1))})
     share = F.round(F.col("count") / F.col("total") * 100, digits)
-    return count_by(df, [group, item]).withColumn("total", total).withColumn("percentage", share)
+    return totals.attach(count_by(df, [group, item]), limit).withColumn("percentage", share)
 
 
 def running_count(df: DataFrame, group: str, order: str) -> DataFrame:

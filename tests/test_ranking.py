@@ -48,6 +48,16 @@ def test_share(spark, rows):
     assert rows(ranking.share_within(df, "brand", "fuel")) == expected
 
 
+def test_share_in_a_hot_group_needs_no_window(spark):
+    df = spark.range(3000).select((F.col("id") % 3 * (F.col("id") % 30)).alias("g"), F.col("id").alias("item"))
+    for limit in (None, 0):
+        shares = ranking.share_within(df, "g", "item", 4, limit)
+        assert "Window" not in shares._jdf.queryExecution().toString()
+        sizes = dict(df.groupBy("g").count().collect())
+        assert sizes[0] >= 1000 and shares.count() == 3000
+        assert all(r["total"] == sizes[r.g] and r["count"] == 1 for r in shares.collect())
+
+
 def test_top_rows(spark):
     df = spark.createDataFrame([(1, "b"), (3, "z"), (3, "a"), (None, "n")], "age int, m string")
     top = ranking.top_rows(df, [F.desc_nulls_last("age")], 2, ["m"])
