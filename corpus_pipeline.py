@@ -62,7 +62,8 @@ STAGES = [
 ]
 
 # The stages rest on estimated models, hashes and vocabularies that SQL does not have;
-# tests/llm/test_pipeline.py holds them against brute force instead.
+# tests/llm/test_operators.py holds the operators against brute force instead, and
+# test_queries.py runs the stages in a row.
 ORACLE_SQL = None
 
 
