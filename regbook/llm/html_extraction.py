@@ -9,7 +9,8 @@ A word's weight depends on the element that holds it, a tag's on its name, and b
 the first word of its class.
 
 Inside the region, elements that never hold content (scripts, forms, menus, adverts,
-comment sections and the like) are passed over.
+comment sections and the like) are passed over. A class word does not exclude what holds the
+outermost ``<article>`` or ``<main>``.
 """
 
 from __future__ import annotations
@@ -64,19 +65,53 @@ EXCLUDED_NAMES = frozenset(
     "reply respond share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar "
     "widget".split()
 )
+# Elements whose start ends an open one of the first names, up to the second.
+IMPLIED_ENDS = {
+    name: (frozenset(ended.split()), frozenset(bounds.split()))
+    for names, ended, bounds in (
+        ("li", "li", "ul ol menu table"),
+        ("dt dd", "dt dd", "dl table"),
+        ("option", "option", "select datalist"),
+        ("tr", "tr", "table"),
+        ("td th", "td th", "tr table"),
+        ("tbody tfoot", "thead tbody tfoot", "table"),
+        ("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
+         "pre section table ul", "p", " ".join(sorted(BLOCKS - {"p"}))),
+    )
+    for name in names.split()
+}
 
 
 def tokens(page: str) -> list[tuple[str, str, bool]]:
     """``(feature, text, content)`` in page order. Tags have text ``" "`` if they end a
     block and none otherwise; pieces of text carry their characters decoded."""
-    out: list[tuple[str, str, bool]] = []
+    out: list[tuple[str, str, tuple[int, ...]]] = []
     open_holders: list[tuple[str, str]] = []
-    excluded: list[str] = []
+    opened: list[tuple[str, int]] = []  # name and, if it is excluded, a number from 1
+    excluded: tuple[int, ...] = ()  # the numbers in ``opened``
+    by_name: set[int] = set()
+    kept: set[int] = set()  # excluded by a class word, but they hold the article
+    number = 0
     at = 0
 
+    def close(place: int) -> None:
+        nonlocal excluded
+        gone = [n for _, n in opened[place:] if n]
+        del opened[place:]
+        if gone:
+            excluded = excluded[: len(excluded) - len(gone)]
+
+    def place_of(names: frozenset[str], bounds: frozenset[str]) -> int | None:
+        for i in range(len(opened) - 1, -1, -1):
+            if opened[i][0] in names:
+                return i
+            if opened[i][0] in bounds:
+                return None
+        return None
+
     def add_text(raw: str) -> None:
         holder = open_holders[-1][1] if open_holders else "body"
-        out.append((f"word {holder}", html.unescape(raw), not excluded))
+        out.append((f"word {holder}", html.unescape(raw), excluded))
 
     for match in TOKEN.finditer(page):
         if match.start() > at:
@@ -91,25 +126,35 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
         label = f"{name}.{words[0]}" if words else name
         block = " " if name in BLOCKS else ""
         if closing:
-            if name in excluded:
-                while excluded.pop() != name:
-                    pass
+            # An inline element does not end the blocks around it.
+            place = place_of(frozenset((name,)), frozenset() if name in BLOCKS else BLOCKS)
+            if place is not None:
+                close(place)
             if any(name == n for n, _ in open_holders):
                 while open_holders.pop()[0] != name:
                     pass
-        out.append((f"/{name}" if closing else label, block, not excluded))
+        elif name in IMPLIED_ENDS:
+            place = place_of(*IMPLIED_ENDS[name])
+            if place is not None:
+                close(place)
+        out.append((f"/{name}" if closing else label, block, excluded))
         if not closing and name not in VOID and not attributes.endswith("/"):
             inside = any(n in ("article", "main") for n, _ in open_holders)
+            if name in ("article", "main") and not inside:
+                kept.update(by_name.intersection(excluded))
             bad = name in EXCLUDED or name == "header" and not inside
-            if bad or name not in ("body", "html", "article", "main") and EXCLUDED_NAMES.intersection(words):
-                excluded.append(name)
-            elif excluded and name == excluded[-1]:
-                excluded.append(name)  # the same element nested: its end is not ours
+            named = name not in ("body", "html", "article", "main") and not EXCLUDED_NAMES.isdisjoint(words)
+            if bad or named:
+                number += 1
+                excluded += (number,)
+                if not bad:
+                    by_name.add(number)
+            opened.append((name, number if bad or named else 0))
             if name in HOLDERS:
                 open_holders.append((name, label))
     if at < len(page):
         add_text(page[at:])
-    return out
+    return [(feature, text, kept.issuperset(numbers)) for feature, text, numbers in out]
 
 
 def _names(attributes: str) -> list[str]:

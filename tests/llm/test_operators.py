@@ -375,3 +375,16 @@ def test_classifier(spark, odd, empty):
     assert not kept[60] and not kept[61]
     assert language_model.classify(empty, trusted).count() == 0
     assert not any(r.kept for r in language_model.classify(odd, trusted.limit(0)).collect())
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="layout has-sidebar"><h1>Kept</h1><article>Kept words</article></div>',
+        '<ul><li class="menu-item">A<li class="menu-item">B</ul><article>Kept words</article>',
+        '<ul><li class="menu-item">A<li>Kept words</ul>',
+    ],
+)
+def test_html_exclusion_ends(page):
+    texts = {text: content for _, text, content in html_extraction.tokens(page)}
+    assert texts["Kept words"] and texts.get("Kept", True) and not texts.get("A")
