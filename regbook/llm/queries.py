@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_model, line_dedup, pii, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts
+from . import conversation_repair, decontamination, html_extraction, language_model, line_dedup, pii, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,5 +97,23 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    hashed = conversation_repair.digest(repaired.turns).withColumnRenamed("conv_id", "hashed_id")
+    found = repaired.report.withColumnRenamed("conv_id", "found_id")
+    every = conversations.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").join(
+        hashed, F.col("conv_id").eqNullSafe(F.col("hashed_id")), "left"
+    )
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
