@@ -33,10 +33,10 @@ from ..storage import materialise
 from .common import SPACES, arrow_map
 
 # Rows, and bytes of text, of one stretch.
-ROWS = 512
+ROWS = 128
 STRETCH_BYTES = 8 << 20
 # Rows whose bound is exact; at the border of two such windows the role is free.
-WINDOW = 16
+WINDOW = 32
 DELETE, INSERT, REROLE, TRUNCATED = 2, 5, 1, 5
 # The last role of what has been repaired so far.
 START, SYSTEM, USER, ASSISTANT = range(4)
