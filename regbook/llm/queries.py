@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontamination, html_extraction, language_model, line_dedup, pii, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts
+from . import conversation_repair, decontamination, html_extraction, language_model, line_dedup, lm_scoring, pii, quality_rules, sentencepiece, simhash, suffix_dedup, token_alignment, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+BYTE_LEVEL = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 # Edits of the token count query: what goes and what takes its place.
@@ -97,6 +98,27 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    docs = table(spark, folder, "documents").select("doc_id", "text", (number % 7 == 2).alias("held_out"))
+    model = lm_scoring.train(docs.filter("not held_out"))
+    scored = lm_scoring.score(docs, model, keep=("doc_id", "held_out"))
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.numbers.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    models = token_alignment.Models.load(BYTE_LEVEL, PIECES)
+    return token_alignment.align(table(spark, folder, "documents"), models, keep=("doc_id",))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations")
     repaired = conversation_repair.repair(conversation_repair.damage(conversations))
