@@ -186,8 +186,8 @@ def align_texts(texts: DataFrame, models: Models, groups: bool = False) -> DataF
     of the text, the hash of its groups, its pairs as ``codes`` (A's id times the size of
     B's vocabulary plus B's id) with ``counts``, and with ``groups`` written out if asked for."""
     kept = texts.drop("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    schema = f"{schema}, {ALIGNED}, codes array<bigint>, counts array<int>" + ", groups string" * groups
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields)
+    schema = f"{schema}{ALIGNED}, codes array<bigint>, counts array<int>" + ", groups string" * groups
     return arrow_map(texts.select(*kept.columns, "text"), partial(_align_batches, models=models, groups=groups), schema)
 
 
