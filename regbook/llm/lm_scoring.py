@@ -50,8 +50,10 @@ BITS = PROBES / math.log(2)
 SHARD_BYTES = 8 << 20
 BROADCAST_BYTES = 256 << 20
 # Grams a task sums up before it hands them on, and words whose hash a worker remembers.
-FLUSH = 4_000_000
-MEMORY = 500_000
+FLUSH = 3_000_000
+MEMORY = 200_000
+# Text worked on at once; a longer one is worked on alone.
+SLICE_BYTES = 4 << 20
 # Grams of each shard, and of all, that may be broadcast apart from the filter.
 TOP, HEAVY = 256, 65_536
 SEED = 29
@@ -122,6 +124,17 @@ def _raw(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _slices(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows with about ``SLICE_BYTES`` of text at a time."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SLICE_BYTES:
+            yield batch.slice(first, i - first), texts[first:i]
+            first, size = i, 0
+        size += len(text)
+    yield batch.slice(first), texts[first:]
+
+
 GRAMS = "shard long, pair boolean, hashes binary, counts binary"
 GRAMS_TYPE = pa.schema([("shard", pa.int64()), ("pair", pa.bool_()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
@@ -146,8 +159,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.
             parts.clear()
         return pa.RecordBatch.from_pydict(rows, schema=GRAMS_TYPE)
 
-    for batch in batches:
-        flat, _ = tokens(_raw(batch.column(0)))
+    for _, texts in (x for b in batches for x in _slices(b, _raw(b.column(0)))):
+        flat, _ = tokens(texts)
         if not len(flat):
             continue
         before = np.concatenate((flat[-1:], flat[:-1]))
@@ -355,8 +368,8 @@ SCORES = "n_tokens long, n_known long, base_score double, score double"
 
 def _score_batches(batches: Iterator[pa.RecordBatch], numbers: Numbers, sent) -> Iterator[pa.RecordBatch]:
     held = sent.value
-    for batch in batches:
-        flat, sizes = tokens(_raw(batch.column("text")))
+    for batch, texts in (x for b in batches for x in _slices(b, _raw(b.column("text")))):
+        flat, sizes = tokens(texts)
         starts = np.cumsum(sizes) - sizes
         if len(flat):
             words, at, pairs, pair_at = _neighbours(flat)
