@@ -31,8 +31,9 @@ from .common import arrow_map, row_key
 
 # Pairs that are sent to all workers (13 bytes each).
 PAIRS = 4_000_000
-# Words a worker remembers, and pairs it sums up before it hands them on.
-MEMORY = 200_000
+# Words a worker remembers in each of two generations, and pairs it sums up before it
+# hands them on.
+MEMORY = 100_000
 FLUSH = 2_000_000
 # Texts whose rows a worker holds at once.
 ROWS = 500
@@ -89,6 +90,18 @@ class Aligner:
         self.n_a = max(self.a_bytes, default=-1) + 1
         # word -> (A tokens, B tokens, groups or None, linked pairs)
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
+
+    def recall(self, words: set[str]) -> None:
+        """Make all these words known. When there are many, words that nobody has asked for
+        since the last time are forgotten."""
+        if len(self.known) > MEMORY:
+            self.known, self.older = {}, self.known
+        new = [w for w in words if w not in self.known]
+        older = self.older
+        self.known.update((w, older[w]) for w in new if w in older)
+        if unknown := [w for w in new if w not in older]:
+            self.learn(sorted(unknown))
 
     def learn(self, words: list[str]) -> None:
         """Encode words (each with the blank before it) and remember what they give."""
@@ -144,14 +157,10 @@ def _lists(values: np.ndarray, sizes: list[int]) -> pa.ListArray:
 
 def _align_batches(batches: Iterator[pa.RecordBatch], models: Models, groups: bool) -> Iterator[pa.RecordBatch]:
     aligner = _aligner(models)
-    known = aligner.known
     for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-        if len(known) > MEMORY:
-            known.clear()
         texts = [words_of(t) if t else [] for t in batch.column("text").to_pylist()]
-        new = {w for words in texts for w in words if w not in known}
-        if new:
-            aligner.learn(sorted(new))
+        aligner.recall({w for words in texts for w in words})
+        known = aligner.known
         rows, joined, codes, counts, sizes = [], [], [], [], []
         for words in texts:
             found = [known[w] for w in words]
