@@ -8,8 +8,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import text_columns
+from ..functions.columns import quoted, text_columns
 from ..schema import SENTINELS, UNINFORMATIVE
+from ..storage import materialise
+from .groups import broadcast_limit
 
 
 def standardise_text(
@@ -63,6 +65,33 @@ def dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedup_wide(df: DataFrame, limit: int | None = None, bits: int = 128) -> DataFrame:
+    """``dedup`` for wide rows of which few are repeated.
+
+    Rows are first counted by a fingerprint of 16 bytes, and only that is shuffled. A row
+    whose fingerprint is its own is unique and stays where it is; rows that share one are
+    compared in full. The shared fingerprints are broadcast up to ``limit`` bytes (the
+    session's broadcast limit); if more rows repeat than that, whole rows are shuffled.
+    ``bits`` cuts fingerprints short, for tests.
+    """
+    limit = broadcast_limit(df.sparkSession) if limit is None else limit
+    columns = [F.col(quoted(c)) for c in df.columns]
+    marked = [x for c in columns for x in (c.isNull(), c)]
+    prints = [F.xxhash64(F.lit(seed), *marked) for seed in (1, 2)]
+    if bits < 128:
+        prints = [F.pmod(prints[0], F.lit(2**bits)), F.lit(0).cast("bigint")]
+    prints = [p.alias(f"__print{i}") for i, p in enumerate(prints)]
+    names = ["__print0", "__print1"]
+    shared = df.select(*prints).groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*names)
+    shared = materialise(shared, "fingerprints")
+    if shared.count() * 32 > limit:
+        return dedup(df)
+    marked_rows = df.select("*", *prints)
+    unique = marked_rows.join(F.broadcast(shared), names, "left_anti").select(*columns)
+    repeated = marked_rows.join(F.broadcast(shared), names, "left_semi").select(*columns)
+    return unique.unionByName(dedup(repeated))
+
+
 def add_age(df: DataFrame, column: str = "MAKE_YEAR", as_of: int = 2026, name: str = "AGE") -> DataFrame:
     return df.withColumn(name, F.lit(as_of) - F.col(column)) if column in df.columns else df
 

@@ -49,6 +49,11 @@ class GroupTable:
     rows: int
     bytes: int
 
+    @property
+    def key_columns(self) -> tuple[str, ...]:
+        """The names of the keys within ``table``."""
+        return tuple(f"{_KEY}{i}" for i in range(len(self.keys)))
+
     def attach(self, df: DataFrame, limit: int | None = None) -> DataFrame:
         """Every row of ``df`` with the values of its group. NULL keys form a group, and
         a row whose group is not in the table gets NULL values."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import quoted
 from ..schema import OTHER
 from .groups import GroupTable, group_table
 
@@ -24,9 +25,24 @@ def fold_labels(
     limit: int | None = None,
 ) -> DataFrame:
     """Replace labels counted fewer than ``min_count`` times. NULL is not a label."""
-    rare = F.col(column).isNotNull() & (F.col(_COUNT) < min_count)
-    counted = counts.attach(df, limit)
-    return counted.withColumn(column, F.when(rare, other).otherwise(F.col(column))).drop(_COUNT)
+    return fold_counted(counts.attach(df, limit), column, min_count, other)
+
+
+def is_rare(column: str, min_count: int) -> Column:
+    """Whether the label of a row with its count attached is to be folded."""
+    return F.col(quoted(column)).isNotNull() & (F.col(_COUNT) < min_count)
+
+
+def fold_counted(counted: DataFrame, column: str, min_count: int, other: str) -> DataFrame:
+    """Fold the labels of rows that have their counts attached."""
+    label = F.when(is_rare(column, min_count), other).otherwise(F.col(quoted(column)))
+    return counted.withColumn(column, label).drop(_COUNT)
+
+
+def rare_labels(counts: GroupTable, min_count: int) -> int:
+    """How many labels are folded, from the table of counts alone."""
+    (key,) = counts.key_columns
+    return counts.table.filter(F.col(key).isNotNull() & (F.col(_COUNT) < min_count)).count()
 
 
 def fold_rare(

@@ -12,16 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_numbers, is_missing, numeric_columns, text_columns
+from ..functions.columns import as_numbers, is_missing, numeric_columns, quoted, text_columns
 from ..storage import materialise
-from .quantiles import SKETCH_ACCURACY, exact_quantiles
+from .quantiles import approx_quantiles, exact_quantiles
 
-_QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-
-
-def _quoted(name: str) -> str:
-    """A column name as it is, dots and backticks included."""
-    return f"`{name.replace('`', '``')}`"
+QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
 def _unfold(row: DataFrame, records: Sequence[Column]) -> DataFrame:
@@ -62,39 +57,36 @@ def profile_numeric(
 ) -> DataFrame:
     """count, mean, stddev, min, quartiles and max per numeric column, as a long table of
     (column, metric, value). NaN counts as missing. ``method`` chooses exact quartiles or
-    approximate ones, which need no pass of their own."""
+    those of a sketch."""
     columns = list(columns or numeric_columns(df))
-    fractions = list(_QUARTILES.values())
-    if method == "exact":
-        found = exact_quantiles(df, dict.fromkeys(columns, fractions))
-        quartiles = {
-            c: F.array(*[F.lit(q).cast("double") for q in found[c]]) for c in columns
-        }
-    else:
-        quartiles = {c: F.percentile_approx(c, fractions, SKETCH_ACCURACY) for c in columns}
-    summaries = [
-        F.struct(
-            F.count(c).cast("double").alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev(c).alias("stddev"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-            quartiles[c].alias("quartiles"),
-        ).alias(c)
-        for c in columns
-    ]
-    records = []
-    for c in columns:
-        metrics = {m: F.col(f"`{c}`.{m}") for m in ("count", "mean", "stddev", "min")}
-        metrics |= {m: F.get(F.col(f"`{c}`.quartiles"), i) for i, m in enumerate(_QUARTILES)}
-        metrics["max"] = F.col(f"`{c}`.max")
-        records += [
-            F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.alias("value"))
-            for m, v in metrics.items()
-        ]
+    quantiles = {"exact": exact_quantiles, "approx": approx_quantiles}[method]
+    found = quantiles(df, dict.fromkeys(columns, list(QUARTILES.values())))
+    records, summaries = [], []
+    for i, c in enumerate(columns):
+        v = f"v{i}"
+        summaries.append(
+            F.struct(
+                F.count(v).cast("double").alias("count"),
+                F.avg(v).alias("mean"),
+                F.stddev(v).alias("stddev"),
+                F.min(v).alias("min"),
+                F.max(v).alias("max"),
+            ).alias(v)
+        )
+        metrics = {m: F.col(f"{v}.{m}") for m in ("count", "mean", "stddev", "min")}
+        metrics |= {m: F.lit(q).cast("double") for m, q in zip(QUARTILES, found[c])}
+        metrics["max"] = F.col(f"{v}.max")
+        records += numeric_records(c, metrics)
     return _unfold(as_numbers(df, columns).agg(*summaries), records)
 
 
+def numeric_records(column: str, metrics: Mapping[str, Column]) -> list[Column]:
+    return [
+        F.struct(F.lit(column).alias("column"), F.lit(m).alias("metric"), v.alias("value"))
+        for m, v in metrics.items()
+    ]
+
+
 def profile_categories(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -111,9 +103,9 @@ def profile_categories(
     only where they are the sample.
     """
     columns = list(columns or text_columns(df))
-    df = df.select(*[F.col(_quoted(c)) for c in columns])
+    df = df.select(*[F.col(quoted(c)) for c in columns])
     registers, error = _sketch_size(max_values)
-    row = df.agg(*[F.approx_count_distinct(_quoted(c), error) for c in columns]).first()
+    row = df.agg(*[F.approx_count_distinct(quoted(c), error) for c in columns]).first()
     estimates = dict(zip(columns, row))
     # n values fill at most n registers, so n values cannot read more than this.
     limit = math.ceil(registers * math.log(registers / (registers - max_values)))
@@ -121,8 +113,8 @@ def profile_categories(
     if not narrow:
         return _samples(df, estimates, sample)
     counted = materialise(
-        df.select(*[F.col(_quoted(c)) for c in narrow])
-        .unpivot([], [_quoted(c) for c in narrow], "column", "value")
+        df.select(*[F.col(quoted(c)) for c in narrow])
+        .unpivot([], [quoted(c) for c in narrow], "column", "value")
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("count")),
         "categories",
@@ -152,7 +144,7 @@ def _samples(df: DataFrame, estimates: Mapping[str, int], sample: int) -> DataFr
     """
     classes = 2 * sample
     names = list(estimates)
-    hashes = df.select(*[F.xxhash64(_quoted(c)).alias(f"h{i}") for i, c in enumerate(names)])
+    hashes = df.select(*[F.xxhash64(quoted(c)).alias(f"h{i}") for i, c in enumerate(names)])
     smallest = [
         F.array(
             *[F.min(F.when(F.pmod(f"h{i}", F.lit(classes)) == k, F.col(f"h{i}"))) for k in range(classes)]
@@ -165,7 +157,7 @@ def _samples(df: DataFrame, estimates: Mapping[str, int], sample: int) -> DataFr
     chosen = [[h for h in array if h is not None and h != null][:sample] for array in found]
     picked = df.select(
         *[
-            F.when(F.xxhash64(_quoted(c)).isin(some), F.col(_quoted(c))).alias(f"v{i}")
+            F.when(F.xxhash64(quoted(c)).isin(some), F.col(quoted(c))).alias(f"v{i}")
             for i, (c, some) in enumerate(zip(names, chosen))
         ]
     )

@@ -8,12 +8,13 @@ that table instead of parsing the source again.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_missing
 from ..operators.cleaning import (
     add_age,
     add_date_parts,
@@ -26,7 +27,7 @@ from ..operators.cleaning import (
     standardise_text,
 )
 from ..operators.groups import GroupTable
-from ..operators.labels import fold_labels, label_counts
+from ..operators.labels import fold_counted, fold_labels, is_rare, label_counts
 from ..operators.outliers import IqrBound, iqr_bounds, within_bounds
 from ..schema import OTHER, SENTINELS, UNINFORMATIVE, UNKNOWN
 from ..storage import materialise
@@ -87,7 +88,7 @@ def _in_domain(df: DataFrame, config: CleaningConfig) -> DataFrame:
     return df
 
 
-def _survivors(fitted: FittedCleaning) -> DataFrame:
+def survivors(fitted: FittedCleaning) -> DataFrame:
     """Rows left after the logical rules and the outlier limits."""
     return within_bounds(_in_domain(fitted.standardised, fitted.config), fitted.bounds)
 
@@ -112,7 +113,7 @@ def fit_cleaning(
     fitted = FittedCleaning(config, source, standardised, tuple(bounds), None)
     if config.label_column not in standardised.columns:
         return fitted
-    return replace(fitted, labels=label_counts(_survivors(fitted), config.label_column))
+    return replace(fitted, labels=label_counts(survivors(fitted), config.label_column))
 
 
 def apply_cleaning(fitted: FittedCleaning) -> DataFrame:
@@ -122,7 +123,7 @@ def apply_cleaning(fitted: FittedCleaning) -> DataFrame:
 
 
 def _filled(fitted: FittedCleaning) -> DataFrame:
-    config, df = fitted.config, _survivors(fitted)
+    config, df = fitted.config, survivors(fitted)
     if fitted.labels is not None:
         df = fold_labels(
             df, config.label_column, fitted.labels, config.label_min_count, config.label_other
@@ -138,30 +139,40 @@ def clean_registry(
     return apply_cleaning(fit_cleaning(df, config, stage))
 
 
-def audit_cleaning(fitted: FittedCleaning) -> DataFrame:
-    """How many rows each removal flags among the rows that earlier ones left:
-    (step, rule, column, lower, upper, rows_flagged). One pass counts all value rules;
-    duplicates need the same shuffle as removing them."""
+def _value_rules(fitted: FittedCleaning) -> list[tuple[str, str, object, object, Column]]:
+    """(rule, column, lower, upper, whether a row breaks it) in the order of removal."""
     config, df = fitted.config, fitted.standardised
     rules = []
     if config.year_column in df.columns:
         low, high = config.year_range
         year = F.col(config.year_column)
-        flagged = (year < low) | (year > high)
-        rules.append(("range", config.year_column, float(low), float(high), flagged))
+        rules.append(("range", config.year_column, float(low), float(high), (year < low) | (year > high)))
     if set(config.ordered) <= set(df.columns):
         low, high = config.ordered
         rules.append(("order", high, None, None, F.col(high) < F.col(low)))
     for b in fitted.bounds:
-        rules.append(("outlier", b.column, b.lower, b.upper, ~b.keeps()))
+        rules.append(("outlier", b.column, float(b.lower), float(b.upper), ~b.keeps()))
+    return [(*rule, F.coalesce(flagged, F.lit(False))) for *rule, flagged in rules]
+
+
+def _first_flags(rules) -> list[Column]:
+    """How many rows each rule is the first to flag."""
+    remaining, counts = F.lit(True), []
+    for i, (*_, flagged) in enumerate(rules):
+        counts.append(F.count_if(remaining & flagged).alias(f"n{i}"))
+        remaining = remaining & ~flagged
+    return counts
+
+
+def audit_cleaning(fitted: FittedCleaning) -> DataFrame:
+    """How many rows each removal flags among the rows that earlier ones left:
+    (step, rule, column, lower, upper, rows_flagged). One pass counts all value rules;
+    duplicates need the same shuffle as removing them."""
+    config, df = fitted.config, fitted.standardised
+    rules = _value_rules(fitted)
     identity = config.dedup_on == "identity"
     first = 2 if identity else 1
-    remaining, counts, records = F.lit(True), [], []
-    for step, (rule, column, low, high, flagged) in enumerate(rules, start=first):
-        flagged = F.coalesce(flagged, F.lit(False))
-        counts.append(F.count_if(remaining & flagged).alias(f"n{step}"))
-        remaining = remaining & ~flagged
-        records.append(_audit_record(step, rule, column, low, high, F.col(f"n{step}")))
+    records = [_audit_record(first + i, *rule, F.col(f"n{i}")) for i, (*rule, _) in enumerate(rules)]
     copies = _count_copies(fitted.source if identity else _filled(fitted))
     step = 1 if identity else first + len(rules)
     duplicates = copies.select(
@@ -169,7 +180,82 @@ def audit_cleaning(fitted: FittedCleaning) -> DataFrame:
     )
     if not rules:
         return duplicates
-    return df.agg(*counts).select(F.inline(F.array(*records))).unionByName(duplicates)
+    return df.agg(*_first_flags(rules)).select(F.inline(F.array(*records))).unionByName(duplicates)
+
+
+class Audit:
+    """What a cleaning run removed and changed, observed while the clean table is computed:
+    ``table`` may be asked for once an action on that table has ended."""
+
+    def __init__(self, fitted: FittedCleaning):
+        self.fitted = fitted
+        self.rules = _value_rules(fitted)
+        self.start, self.kept, self.end = (Observation() for _ in range(3))
+
+    def clean(self) -> DataFrame:
+        """The clean table, lazily; the same rows as ``apply_cleaning`` gives."""
+        config = self.fitted.config
+        rows = self.fitted.standardised.observe(self.start, F.count(F.lit(1)).alias("n"), *_first_flags(self.rules))
+        rows = survivors(replace(self.fitted, standardised=rows))
+        folded = F.lit(0)
+        if self.fitted.labels is not None:
+            rows = self.fitted.labels.attach(rows)
+            folded = F.count_if(is_rare(config.label_column, config.label_min_count))
+        rows = rows.transform(fill_missing, config.fills)
+        present = [c for c in config.required if c in rows.columns]
+        lacking = F.lit(False)
+        for c in present:
+            lacking = lacking | is_missing(rows, c)
+        rows = rows.observe(self.kept, folded.alias("folded"), F.count_if(lacking).alias("lacking"))
+        if self.fitted.labels is not None:
+            rows = fold_counted(rows, config.label_column, config.label_min_count, config.label_other)
+        rows = fill_missing(require(rows, config.required), text=config.text_fill)
+        if config.dedup_on != "identity":
+            rows = dedup(rows)
+        return rows.observe(self.end, F.count(F.lit(1)).alias("n"))
+
+    def records(self) -> list[tuple]:
+        """(step, rule, column, lower, upper, rows_flagged, rows_left) from input to output.
+        *fold* changes rows and removes none."""
+        config, start, kept, out = self.fitted.config, self.start.get, self.kept.get, self.end.get["n"]
+        left = start["n"]
+        records = [(0, "input", None, None, None, 0, left)]
+        for i, (rule, column, low, high, _) in enumerate(self.rules):
+            left -= start[f"n{i}"]
+            records.append((i + 1, rule, column, low, high, start[f"n{i}"], left))
+        step = len(records)
+        if self.fitted.labels is not None:
+            records.append((step, "fold", config.label_column, None, None, kept["folded"], left))
+        left -= kept["lacking"]
+        records.append((len(records), "required", ",".join(config.required), None, None, kept["lacking"], left))
+        if config.dedup_on != "identity":
+            records.append((len(records), "duplicate", None, None, None, left - out, out))
+        return records
+
+    def adds_up(self, rows_in: int, rows_out: int) -> bool:
+        """Whether the observed figures fit what was read and written. They do unless tasks
+        that had been counted were run again, after executors were lost."""
+        records = self.records()
+        return (records[0][-1], records[-1][-1], self.end.get["n"]) == (rows_in, rows_out, rows_out)
+
+    def table(self) -> DataFrame:
+        spark = self.fitted.standardised.sparkSession
+        return spark.createDataFrame(self.records(), AUDIT)
+
+
+AUDIT = "step int, rule string, column string, lower double, upper double, rows_flagged bigint, rows_left bigint"
+
+
+def write_audited(fitted: FittedCleaning, write: Callable[[DataFrame], DataFrame], tries: int = 3) -> tuple[DataFrame, DataFrame]:
+    """The written clean table and its audit, from one pass. ``write`` writes a table and
+    returns it as read back; if the figures do not add up it is done again."""
+    rows_in = fitted.standardised.count()
+    for _ in range(tries):
+        audit = Audit(fitted)
+        written = write(audit.clean())
+        if audit.adds_up(rows_in, written.count()):
+            return written, audit.table()
+    raise RuntimeError("the counts of the cleaning steps do not add up")
 
 
 def _audit_record(step, rule, column, lower, upper, flagged: Column) -> Column:

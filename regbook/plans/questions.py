@@ -187,10 +187,3 @@ def q24(r: Registry) -> DataFrame:
 QUESTIONS: dict[int, Callable[[Registry], DataFrame]] = {
     number: globals()[f"q{number:02d}"] for number in range(1, 25)
 }
-
-# Answers with one row per vehicle; these grow with the table.
-ROW_LEVEL = frozenset({3, 11, 14, 19, 24})
-
-
-def answer_all(registry: Registry) -> dict[int, DataFrame]:
-    return {number: question(registry) for number, question in QUESTIONS.items()}

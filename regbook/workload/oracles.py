@@ -1,7 +1,7 @@
 """The same queries as SQL over the test tables.
 
 Written independently of the Spark plans: windows where the library aggregates and
-joins, full joins where the view prunes them, sorted quantiles where it narrows.
+joins, sorted quantiles where it narrows, plain counts where it observes.
 """
 
 from __future__ import annotations
@@ -142,11 +142,56 @@ UNION ALL SELECT 6, 'duplicate', NULL, NULL, NULL,
   (SELECT count(*) FROM filled) - (SELECT count(*) FROM (SELECT DISTINCT * FROM filled))"""
 
 
+def _run_audit_sql() -> str:
+    c = VIEW_CLEANING
+    low, high = c.year_range
+
+    def step(number, rule, column, lower, upper, before, after, source=None):
+        return f"""SELECT {number} AS step, '{rule}' AS rule, {column} AS "column", {lower} AS lower, {upper} AS upper,
+  (SELECT count(*) FROM {before}) - (SELECT count(*) FROM {after}) AS rows_flagged,
+  (SELECT count(*) FROM {after}) AS rows_left{f" FROM {source}" if source else ""}"""
+
+    def outlier(number, column, before, after):
+        q = f"greatest(0.0, q1 - {c.iqr_k} * (q3 - q1))"
+        return step(number, "outlier", f"'{column}'", q, f"q3 + {c.iqr_k} * (q3 - q1)", before, after, f"{after}_q")
+
+    none = "cast(NULL AS double)"
+    body = _union((
+        step(0, "input", "NULL", none, none, "std", "std"),
+        step(1, "range", "'MAKE_YEAR'", f"{low}.0", f"{high}.0", "std", "in_range"),
+        step(2, "order", "'TOTAL_WEIGHT'", none, none, "in_range", "domain"),
+        outlier(3, "CAPACITY", "domain", "s1"),
+        outlier(4, "OWN_WEIGHT", "s1", "s2"),
+        outlier(5, "TOTAL_WEIGHT", "s2", "s3"),
+        f"""SELECT 6, 'fold', 'MODEL', NULL, NULL, (SELECT count(*) FROM s3 JOIN rare USING (MODEL)),
+  (SELECT count(*) FROM s3)""",
+        step(7, "required", "'OWN_WEIGHT,TOTAL_WEIGHT'", none, none, "s3", "filled"),
+        step(8, "duplicate", "NULL", none, none, "filled", "(SELECT DISTINCT * FROM filled)"),
+    ))
+    return f"""WITH {_cleaning_sql()} SELECT *, (SELECT count(*) FROM (SELECT DISTINCT * FROM filled)) AS rows_written
+FROM ({body})"""
+
+
+RUN_NUMBERS = ("MAKE_YEAR", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT", "AGE", "REG_YEAR", "REG_MONTH")
+
+
+def _run_categories_sql() -> str:
+    """Text columns of the raw rows: values and counts of those with up to 20 values, and for
+    the others that five values are shown."""
+    texts = [c for c in RAW_COLUMNS if c not in {"D_REG", "MAKE_YEAR", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT"}]
+    counted = _union(f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS n FROM twice GROUP BY {c}""" for c in texts)
+    return f"""WITH {_cleaning_sql()}, counted AS ({counted}), sized AS (
+  SELECT *, count(*) OVER (PARTITION BY "column") AS size FROM counted
+)
+SELECT "column", true AS listed, size AS n_distinct, value, n AS "count" FROM sized WHERE size <= 20
+UNION ALL SELECT DISTINCT "column", false, NULL, NULL, 5 FROM sized WHERE size > 20"""
+
+
 def _union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _numeric_sql() -> str:
+def _numeric_sql(table: str = "lineitem", columns=MEASURES) -> str:
     quartile = "quantile_disc({c}, {p})"
     metrics = {
         "count": "cast(count({c}) AS double)", "mean": "avg({c})", "stddev": "stddev_samp({c})",
@@ -154,14 +199,14 @@ def _numeric_sql() -> str:
         "75%": quartile.replace("{p}", "0.75"), "max": "max({c})",
     }
     return _union(
-        f"""SELECT '{c}' AS "column", '{m}' AS metric, round({e.format(c=c)}, 6) AS value FROM lineitem"""
-        for c in MEASURES for m, e in metrics.items()
+        f"""SELECT '{c}' AS "column", '{m}' AS metric, round({e.format(c=c)}, 6) AS value FROM {table}"""
+        for c in columns for m, e in metrics.items()
     )
 
 
-def _numeric_approx_sql() -> str:
+def _numeric_approx_sql(table: str = "lineitem", columns=MEASURES) -> str:
     return f"""SELECT "column", metric, CASE WHEN metric NOT LIKE '%\\%' ESCAPE '\\' THEN value END AS value,
-  CASE WHEN metric LIKE '%\\%' ESCAPE '\\' THEN true END AS within FROM ({_numeric_sql()})"""
+  CASE WHEN metric LIKE '%\\%' ESCAPE '\\' THEN true END AS within FROM ({_numeric_sql(table, columns)})"""
 
 
 def _categories_sql(table: str, columns) -> str:
@@ -175,24 +220,24 @@ FROM (SELECT count(DISTINCT {c}) AS exact, count(DISTINCT {c}) + max(CASE WHEN {
     )
 
 
-def _binned(column: str, bins: int) -> str:
+def _binned(column: str, bins: int, table: str = "lineitem") -> str:
     """Subquery (bin, v) with the bin corrected against its edges."""
     return f"""SELECT CASE WHEN v < low + guess * width THEN guess - 1
       WHEN v >= low + (guess + 1) * width AND guess < {bins - 1} THEN guess + 1 ELSE guess END AS bin,
       v, low, high, width
     FROM (SELECT *, cast(least(floor((v - low) / width), {bins - 1}) AS integer) AS guess
       FROM (SELECT {column} AS v, low, high, (high - low) / {bins} AS width
-        FROM lineitem, (SELECT min({column}) AS low, max({column}) AS high FROM lineitem)))"""
+        FROM {table}, (SELECT min({column}) AS low, max({column}) AS high FROM {table}) WHERE {column} IS NOT NULL))"""
 
 
-def _histogram_sql(bins: int = 30) -> str:
+def _histogram_sql(bins: int = 30, table: str = "lineitem", columns=MEASURES) -> str:
     return _union(
         f"""SELECT '{c}' AS "column", cast(i AS integer) AS bin, low + i * width AS lower,
   low + (i + 1) * width AS upper, coalesce(n, 0) AS "count"
 FROM (SELECT i, low, (high - low) / {bins} AS width FROM range({bins}) AS g(i),
-    (SELECT min({c}) AS low, max({c}) AS high FROM lineitem))
-LEFT JOIN (SELECT bin, count(*) AS n FROM ({_binned(c, bins)}) GROUP BY bin) ON bin = i"""
-        for c in MEASURES
+    (SELECT min({c}) AS low, max({c}) AS high FROM {table}))
+LEFT JOIN (SELECT bin, count(*) AS n FROM ({_binned(c, bins, table)}) GROUP BY bin) ON bin = i"""
+        for c in columns
     )
 
 
@@ -208,12 +253,11 @@ GROUP BY i, low, step, total, h"""
     )
 
 
-def _correlation_sql() -> str:
-    columns = ("MAKE_YEAR", "AGE", "CAPACITY", "OWN_WEIGHT", "TOTAL_WEIGHT", "REG_YEAR", "REG_MONTH")
-    return _on_view(_union(
-        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 8) AS corr FROM clean"
-        for x in columns for y in columns
-    ))
+def _correlation_sql(table: str = "clean") -> str:
+    return _union(
+        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 8) AS corr FROM {table}"
+        for x in RUN_NUMBERS for y in RUN_NUMBERS
+    )
 
 
 def _missing_sql(extra=lambda position, column: "") -> str:
@@ -293,7 +337,28 @@ def _operators() -> dict[str, str]:
         "profile_missing": _missing_sql(),
         "histogram": _histogram_sql(),
         "density": _density_sql(),
-        "correlation": _correlation_sql(),
+        "correlation": _on_view(_correlation_sql()),
+        "running_total_rows": """SELECT l_returnflag, line, n AS "count", cast(sum(n) OVER (
+              PARTITION BY l_returnflag ORDER BY line) AS bigint) AS running_total
+            FROM (SELECT l_returnflag, l_orderkey * 8 + l_linenumber AS line, count(*) AS n FROM lineitem GROUP BY 1, 2)""",
+        "top_groups_sketched": 'SELECT l_suppkey, count(*) AS "count" FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 7',
+        "top_groups_unproven": 'SELECT l_orderkey, count(*) AS "count" FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 7',
+        "dedup_wide_documents": "SELECT DISTINCT text, lang, source FROM documents",
+        "iqr_limits_approx": """SELECT (SELECT count(value) FROM events) + (SELECT count(n_chars) FROM documents) AS n,
+            true AS first, true AS third, true AS "limit" """,
+        "profile_table_numeric": _numeric_approx_sql(),
+        "plan_report_q02": f"SELECT *, true AS sections, true AS scans_nation, true AS pushed FROM ({_questions()['q02']})",
+        "sink_manifest": """SELECT 'flags' AS name, 'written' AS status, 0 AS "rows", 0 AS there
+            UNION ALL SELECT 'items', 'failed', NULL, (SELECT count(*) FROM lineitem)""",
+        "run_raw_categories": _run_categories_sql(),
+        "run_standardised_summary": f"WITH {_cleaning_sql()} {_numeric_approx_sql('std', RUN_NUMBERS)}",
+        "run_kept_correlation": f"WITH {_cleaning_sql()} {_correlation_sql('s3')}",
+        "run_kept_histogram": f"WITH {_cleaning_sql()} {_histogram_sql(30, 's3', RUN_NUMBERS)}",
+        "run_kept_missing": f"WITH {_cleaning_sql()} " + _union(
+            f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM s3"""
+            for c in CLEAN_COLUMNS
+        ),
+        "run_audit": _run_audit_sql(),
         "sink_error_report": """SELECT name, status, CASE name WHEN 'flags' THEN n END AS "rows"
             FROM (VALUES ('flags', 'written'), ('state', 'failed'), ('key', 'failed')) AS r(name, status),
                  (SELECT count(*) AS n FROM lineitem)""",

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from ..functions.columns import text_columns
 from ..functions.parsing import parse_decimal, parse_short_date
 from ..operators import aggregates, cleaning, distribution, labels, outliers, profiling, ranking
-from ..operators.quantiles import SKETCH_ACCURACY
-from ..plans.cleaning import CleaningConfig, apply_cleaning, audit_cleaning, fit_cleaning
+from ..operators.quantiles import approx_quantiles, rank_error
+from ..operators.states import profile_table
+from ..plans.cleaning import CleaningConfig, apply_cleaning, audit_cleaning, fit_cleaning, write_audited
+from ..plans.explain import plan_report
+from ..plans.profiles import profile_run
 from ..plans.questions import QUESTIONS
-from ..schema import CLEAN_COLUMNS, SENTINELS
-from ..sinks import write_delimited, write_results
+from ..schema import SENTINELS
+from ..sinks import read_manifest, write_delimited, write_results
 from ..sources import load_registry, read_delimited, read_table
-from ..storage import scratch_path
+from ..storage import materialise, scratch_path
 from .view import AS_OF, TERMS, clean_rows, raw_rows, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,14 +83,14 @@ def source_inferred_csv(spark, folder):
 
 
 def sink_csv_results(spark, folder):
-    """Two results written side by side, one as a single file, and read back."""
+    """Two results committed side by side and read back."""
     path = scratch_path(spark, "results")
     items = read_table(spark, folder, "lineitem")
     results = {
         "flags": aggregates.count_by(items, ["l_returnflag"]),
         "orders": aggregates.count_by(items, ["l_orderkey"]),
     }
-    report = write_results(spark, results, path, many_files={"orders"})
+    report = write_results(spark, results, path)
     written = [
         read_delimited(spark, f"{path}/question_{name}", "label string, count bigint", sep=",")
         .withColumn("name", F.lit(name))
@@ -115,6 +118,39 @@ def sink_error_report(spark, folder):
     return report.join(total, "name", "left")
 
 
+def sink_manifest(spark, folder):
+    """What the manifest says after a run of which one result failed that had been good
+    before, and the rows that are there."""
+    path = scratch_path(spark, "results")
+    items = read_table(spark, folder, "lineitem").select("l_returnflag", "l_quantity")
+
+    def results(**changed):
+        return {"flags": aggregates.count_by(items, ["l_returnflag"]), "items": items} | changed
+
+    write_results(spark, results(), path)
+    failing = items.withColumn("l_quantity", F.raise_error(F.lit("broken")).cast("double"))
+    write_results(spark, results(flags=aggregates.count_by(items.limit(0), ["l_returnflag"]), items=failing), path)
+    there = [
+        read_delimited(spark, f"{path}/question_{name}", schema, sep=",").agg(F.count(F.lit(1)).alias("there")).select(
+            F.lit(name).alias("name"), "there"
+        )
+        for name, schema in (("flags", "label string, count bigint"), ("items", "flag string, quantity double"))
+    ]
+    return read_manifest(spark, path).drop("files").join(there[0].unionByName(there[1]), "name")
+
+
+def plan_report_q02(spark, folder):
+    """The answer of question 2, each row with what the report of its plan shows."""
+    answer = QUESTIONS[2](registry(spark, folder))
+    report = plan_report(answer)
+    shown = {
+        "sections": "== Physical Plan ==" in report,
+        "scans_nation": "nation.parquet" in report and "ReadSchema" in report,
+        "pushed": "PushedFilters: [" in report,
+    }
+    return answer.select("*", *[F.lit(v).alias(c) for c, v in shown.items()])
+
+
 # --- parsing -------------------------------------------------------------------------
 
 
@@ -176,6 +212,11 @@ def dedup_documents(spark, folder):
     return cleaning.dedup(read_table(spark, folder, "documents").select("text", "lang", "source"))
 
 
+def dedup_wide_documents(spark, folder):
+    """Whole texts compared by fingerprint first."""
+    return cleaning.dedup_wide(read_table(spark, folder, "documents").select("text", "lang", "source"))
+
+
 def dedup_without_identity(spark, folder):
     return cleaning.dedup(
         raw_rows(spark, folder, ("OPER_CODE", "BRAND", "MODEL", "MAKE_YEAR", "KIND"))
@@ -206,6 +247,25 @@ def iqr_filter_approx(spark, folder):
     return outliers.iqr_filter(read_table(spark, folder, "events"), ["value"], method="approx")
 
 
+def iqr_limits_approx(spark, folder):
+    """The limits of a sketch, one row per column: whether the ranks of both quartiles are
+    within twice the error that it promises, and the limits what follows from them."""
+    rows = read_table(spark, folder, "events").select("value").unionByName(
+        read_table(spark, folder, "documents").select(F.col("n_chars").cast("double").alias("value"))
+    )
+    q1, q3 = approx_quantiles(rows, {"value": (0.25, 0.75)})["value"]
+    n = F.count("value")
+    slack = 2 * rank_error() * n + 1
+
+    def within(q, share):
+        value = F.col("value")
+        return (F.count_if(value < q) <= share * n + slack) & (F.count_if(value <= q) >= share * n - slack)
+
+    (bound,) = outliers.iqr_bounds(rows, ["value"], method="approx")
+    near = (F.count_if(F.col("value") > bound.upper) <= slack + F.count_if(F.col("value") > q3 + 2.9 * (q3 - q1)))
+    return rows.agg(n.alias("n"), within(q1, 0.25).alias("first"), within(q3, 0.75).alias("third"), near.alias("limit"))
+
+
 def fold_rare(spark, folder):
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer")
@@ -236,6 +296,50 @@ def audit_registry(spark, folder):
     return audit_cleaning(fit_cleaning(rows, VIEW_CLEANING, stage=True))
 
 
+# --- a whole run ---------------------------------------------------------------------
+
+
+def _fitted(spark, folder):
+    rows = _delivered_twice(spark, folder)
+    return rows, fit_cleaning(rows, VIEW_CLEANING, stage=True)
+
+
+def run_raw_categories(spark, folder):
+    """The source's text columns: listed values, and how many are shown of the others."""
+    profile = profile_run(*_fitted(spark, folder))["raw_categories"]()
+    shown = profile.filter("listed")
+    others = profile.filter("not listed").groupBy("column", "listed").agg(F.count("value").alias("count"))
+    none = F.lit(None)
+    return shown.unionByName(
+        others.select("column", "listed", none.cast("bigint").alias("n_distinct"), none.cast("string").alias("value"), "count")
+    )
+
+
+def run_standardised_summary(spark, folder):
+    rows, fitted = _fitted(spark, folder)
+    summary = profile_run(rows, fitted)["standardised_summary"]()
+    return _checked_quartiles(fitted.standardised, summary)
+
+
+def run_kept_correlation(spark, folder):
+    return _rounded(profile_run(*_fitted(spark, folder))["kept_correlation"](), "corr", 8)
+
+
+def run_kept_histogram(spark, folder):
+    return profile_run(*_fitted(spark, folder))["kept_histogram"]()
+
+
+def run_kept_missing(spark, folder):
+    return profile_run(*_fitted(spark, folder))["kept_missing"]()
+
+
+def run_audit(spark, folder):
+    """The audit observed while the clean table is written, next to the rows written."""
+    _, fitted = _fitted(spark, folder)
+    clean, audit = write_audited(fitted, lambda df: materialise(df, "clean"))
+    return audit.withColumn("rows_written", F.lit(clean.count()).cast("bigint"))
+
+
 # --- profiling -----------------------------------------------------------------------
 
 
@@ -294,25 +398,32 @@ def profile_numeric(spark, folder):
     return _rounded(profiling.profile_numeric(items, MEASURES), "value", 6)
 
 
-def profile_numeric_approx(spark, folder):
-    """The summary with approximate quartiles; of these, whether the rank is right within
-    the error that the sketch promises."""
-    items = read_table(spark, folder, "lineitem")
-    profile = profiling.profile_numeric(items, MEASURES, "approx").collect()  # 8 rows a column
+def _checked_quartiles(df: DataFrame, profile: DataFrame) -> DataFrame:
+    """A numeric summary with, for quartiles, whether their ranks are right within twice the
+    error that a sketch promises (for 99 in 100), instead of their values."""
     fractions = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-    error = 1.0 / SKETCH_ACCURACY
     records = []
-    for r in profile:
-        within, value = F.lit(None).cast("boolean"), F.round(F.lit(r.value), 6)
+    for r in profile.collect():  # 8 rows a column
+        within, value = F.lit(None).cast("boolean"), F.round(F.lit(r.value).cast("double"), 6)
         if r.metric in fractions:
-            share = fractions[r.metric] * F.count(r.column)
-            slack = error * F.count(r.column) + 1
-            column = F.col(r.column)
+            column, share = F.col(r.column), fractions[r.metric] * F.count(r.column)
+            slack = 2 * rank_error() * F.count(r.column) + 1
             within = (F.count_if(column < r.value) <= share + slack) & (F.count_if(column <= r.value) >= share - slack)
             value = F.lit(None).cast("double")
         fields = (F.lit(r.column), F.lit(r.metric), value, within)
         records.append(F.struct(*[f.alias(n) for f, n in zip(fields, ("column", "metric", "value", "within"))]))
-    return items.agg(F.array(*records).alias("r")).select(F.inline("r"))
+    return df.agg(F.array(*records).alias("r")).select(F.inline("r"))
+
+
+def profile_numeric_approx(spark, folder):
+    items = read_table(spark, folder, "lineitem")
+    return _checked_quartiles(items, profiling.profile_numeric(items, MEASURES, "approx"))
+
+
+def profile_table_numeric(spark, folder):
+    """The numeric part of the fused profile."""
+    items = read_table(spark, folder, "lineitem").select(*MEASURES, "l_returnflag")
+    return _checked_quartiles(items, profile_table(items).numeric_summary())
 
 
 def profile_missing(spark, folder):
@@ -359,6 +470,16 @@ def top_groups(spark, folder):
     return ranking.top_groups(read_table(spark, folder, "lineitem"), "l_suppkey", 7)
 
 
+def top_groups_sketched(spark, folder):
+    """Few frequent keys: the sketch's candidates suffice."""
+    return ranking.top_groups_sketched(read_table(spark, folder, "lineitem"), "l_suppkey", 7)
+
+
+def top_groups_unproven(spark, folder):
+    """Many keys of about the same frequency: everything is counted."""
+    return ranking.top_groups_sketched(read_table(spark, folder, "lineitem"), "l_orderkey", 7, tracked=1024)
+
+
 def top_rows(spark, folder):
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return ranking.top_rows(orders, [F.desc_nulls_last("o_totalprice")], 25, ["o_orderkey"])
@@ -396,6 +517,14 @@ def running_count(spark, folder):
     return ranking.running_count(days, "o_orderpriority", "day")
 
 
+def running_total_rows(spark, folder):
+    """An almost unique order, in blocks: line items of a flag by order and line."""
+    items = read_table(spark, folder, "lineitem").select(
+        "l_returnflag", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    )
+    return ranking.running_count(items, "l_returnflag", "line", window_rows=1_000)
+
+
 _OPERATORS: tuple[Query, ...] = (
     source_parquet,
     source_registry_csv,
@@ -445,6 +574,20 @@ _OPERATORS: tuple[Query, ...] = (
     gap_to_group_min,
     share_within,
     running_count,
+    running_total_rows,
+    top_groups_sketched,
+    top_groups_unproven,
+    dedup_wide_documents,
+    iqr_limits_approx,
+    profile_table_numeric,
+    plan_report_q02,
+    sink_manifest,
+    run_raw_categories,
+    run_standardised_summary,
+    run_kept_correlation,
+    run_kept_histogram,
+    run_kept_missing,
+    run_audit,
 )
 
 

@@ -5,13 +5,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from regbook.plans.cleaning import (
+    Audit,
     CleaningConfig,
     apply_cleaning,
     audit_cleaning,
     clean_registry,
     fit_cleaning,
+    write_audited,
 )
+from regbook.plans.profiles import profile_run
 from regbook.schema import CLEAN_COLUMNS, DECIMAL_COLUMNS, RAW_COLUMNS
+from regbook.storage import materialise
 
 TYPES = {"D_REG": "date", "MAKE_YEAR": "int"} | dict.fromkeys(DECIMAL_COLUMNS, "double")
 SCHEMA = ", ".join(f"{c} {TYPES.get(c, 'string')}" for c in RAW_COLUMNS)
@@ -117,3 +121,65 @@ def test_limits_reach_the_scan(spark, raw, tmp_path):
     plan = apply_cleaning(fitted)._jdf.queryExecution().executedPlan().toString()
     assert "MAKE_YEAR" in plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
     assert "VIN" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("dedup_on", ["row", "identity"])
+@pytest.mark.parametrize("label_column", ["BRAND", "absent"])
+def test_observed_audit_adds_up(raw, dedup_on, label_column, rows):
+    config = CleaningConfig(dedup_on=dedup_on, label_column=label_column)
+    fitted = fit_cleaning(raw, config, stage=True)
+    clean, audit = write_audited(fitted, lambda df: materialise(df, "clean"))
+    assert rows(clean) == rows(apply_cleaning(fitted))
+    records = audit.orderBy("step").collect()
+    assert (records[0].rule, records[0].rows_left) == ("input", fitted.standardised.count())
+    left = records[0].rows_left
+    for r in records[1:]:
+        left -= r.rows_flagged if r.rule != "fold" else 0
+        assert r.rows_left == left
+    assert left == clean.count()
+    flagged = {(r.rule, r.column): r.rows_flagged for r in records}
+    expected = {(r.rule, r.column): r.rows_flagged for r in audit_cleaning(fitted).collect()}
+    if dedup_on == "identity":
+        expected.pop(("duplicate", None))
+    assert expected.items() <= flagged.items()
+    assert flagged["required", "OWN_WEIGHT,TOTAL_WEIGHT"] == 1
+    assert flagged.get(("fold", "BRAND"), 0) == (1 if label_column == "BRAND" else 0)
+
+
+def test_one_pass_for_table_and_audit(raw):
+    audit = Audit(fit_cleaning(raw, stage=True))
+    clean = audit.clean()
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CollectMetrics") == 3
+    clean.write.format("noop").mode("overwrite").save()
+    n = audit.records()[-1][-1]
+    assert audit.adds_up(audit.records()[0][-1], n) and not audit.adds_up(0, n)
+
+
+def test_counts_that_do_not_add_up_are_taken_again(raw):
+    fitted, tries = fit_cleaning(raw, stage=True), []
+
+    def write(df):
+        tries.append(1)
+        written = materialise(df, "clean")
+        return written if len(tries) == 3 else written.limit(1)
+
+    assert write_audited(fitted, write)[0].count() == 62 and len(tries) == 3
+    with pytest.raises(RuntimeError):
+        write_audited(fitted, lambda df: materialise(df, "clean").limit(1), tries=1)
+
+
+def test_profiles_of_a_run(raw):
+    fitted = fit_cleaning(raw, stage=True)
+    found = profile_run(raw, fitted)
+    assert found["raw_shape"]().first() == (70, 20)
+    missing = {r.column: r.n_missing for r in found["kept_missing"]().collect()}
+    assert missing["COLOR"] == 1 and missing["BRAND"] == 1 and "VIN" not in missing
+    listed = {r.value for r in found["raw_categories"]().filter("column = 'BRAND'").collect()}
+    assert listed == {"ford ", "rare", None}
+    summary = {(r.column, r.metric): r.value for r in found["standardised_summary"]().collect()}
+    assert summary["MAKE_YEAR", "min"] == 1899 and summary["AGE", "max"] == 2026 - 1899
+    bins = found["kept_histogram"]().filter("column = 'MAKE_YEAR'").collect()
+    assert sum(r["count"] for r in bins) == 64 and min(r.lower for r in bins) == 2000
+    assert found["kept_correlation"]().filter("x = 'AGE' and y = 'MAKE_YEAR'").first()["corr"] == pytest.approx(-1)
+    assert found["kept_density"]().filter("column = 'CAPACITY'").count() == 200

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from regbook import storage
 from regbook.plans import job
 from regbook.schema import RAW_COLUMNS, REGISTRY_SCHEMA
-from regbook.sinks import write_delimited, write_results
+from regbook.sinks import read_manifest, write_delimited, write_results
 from regbook.sources import load_registry, read_delimited, read_table
 
 LINE = "P;8000000000;315;o;{day};d;D;ford;{model};{vin};{year};БІЛИЙ;ЛЕГКОВИЙ;b;p;f;{cap};1000,5;1500;n{vin}"
@@ -78,13 +78,30 @@ def test_one_failure_does_not_stop_the_others(spark, tmp_path, rows):
         3: cannot_build,
         4: spark.range(10).repartition(4),
     }
-    report = write_results(spark, results, str(tmp_path), many_files={4})
+    report = write_results(spark, results, str(tmp_path), file_bytes=1_500)
     assert [(r.name, r.status) for r in report.orderBy("name").collect()] == [
         ("1", "written"), ("2", "failed"), ("3", "failed"), ("4", "written"),
     ]
     assert report.filter("error IS NOT NULL").count() == 2
-    assert len(glob.glob(str(tmp_path / "question_1" / "part-*"))) == 1
-    assert len(glob.glob(str(tmp_path / "question_4" / "part-*"))) > 1
+    manifest = {r.name: (r.status, r.rows, r.files) for r in read_manifest(spark, str(tmp_path)).collect()}
+    assert manifest["1"][:2] == ("written", 10) and manifest["2"] == ("failed", None, None)
+    for name in "14":
+        assert len(glob.glob(str(tmp_path / f"question_{name}" / "part-*"))) == manifest[name][2] > 1
+
+
+def test_a_failing_result_leaves_the_last_good_one(spark, tmp_path):
+    write_results(spark, {"x": spark.range(5)}, str(tmp_path))
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("late"))).otherwise(F.col("id")))
+    report = write_results(spark, {"x": broken}, str(tmp_path))
+    assert [r.status for r in report.collect()] == ["failed"]
+    assert read_delimited(spark, str(tmp_path / "question_x"), sep=",").count() == 5
+    assert not (tmp_path / "_staging").exists()
+
+
+def test_small_results_keep_their_order(spark, tmp_path):
+    write_results(spark, {"x": spark.range(1000).repartition(4).orderBy(F.desc("id"))}, str(tmp_path))
+    back = read_delimited(spark, str(tmp_path / "question_x"), sep=",")
+    assert [r[0] for r in back.collect()] == list(range(999, -1, -1))
 
 
 def test_overwrites(spark, tmp_path):
@@ -155,7 +172,15 @@ def test_job(spark, tmp_path):
         for i in range(100)
     ]
     report = job.run(spark, write_lines(tmp_path / "r.csv", lines), str(tmp_path / "out"))
-    assert {r.status for r in report.collect()} == {"written"} and report.count() == 24
+    assert {r.status for r in report.collect()} == {"written"} and report.count() == 24 + 8
+    audit = read_delimited(spark, str(tmp_path / "out/audit"), sep=",").orderBy("step").collect()
+    assert (audit[0].rows_left, audit[-1].rows_left) == (100, 100)
+    assert audit[0].rows_left - sum(r.rows_flagged for r in audit if r.rule != "fold") == audit[-1].rows_left
+    summary = read_delimited(spark, str(tmp_path / "out/profiles/standardised_summary"), sep=",")
+    assert summary.filter("column = 'AGE' and metric = 'count'").first().value == 100
+    shape = read_delimited(spark, str(tmp_path / "out/profiles/raw_shape"), sep=",").first()
+    assert tuple(shape) == (100, 20)
+    assert "== Physical Plan ==" in "\n".join(r.value for r in spark.read.text(str(tmp_path / "out/plan")).collect())
     clean = spark.read.parquet(str(tmp_path / "out" / "clean"))
     assert clean.count() == 100 and len(clean.columns) == 18
     first = read_delimited(spark, str(tmp_path / "out/results/question_1"), sep=",").collect()
