@@ -38,6 +38,11 @@ def arrow_map(
     return df.mapInArrow(partial(_tidy, function=function), schema)
 
 
+def quoted(name: str) -> Column:
+    """A column by its name as it is, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def blank_null(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

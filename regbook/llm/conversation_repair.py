@@ -24,13 +24,13 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..storage import materialise
-from .common import SPACES, arrow_map
+from .common import SPACES, arrow_map, quoted
 
 # Rows, and bytes of text, of one stretch.
 ROWS = 128
@@ -298,21 +298,17 @@ class Repaired:
     turns: DataFrame
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def damage(conversations: DataFrame) -> DataFrame:
     """Rows of ``(conv_id, turn, role, text)`` damaged by the CRC-32 of ``conv_id:turn``
     modulo 20: 0 drops the row, 1 empties its text, 2 takes its full stops, exclamation and
     question marks away, 3 repeats it, 4 makes its role user. Nulls count as one blank."""
     blank = F.lit(" ")
-    number = [F.coalesce(_column(c).cast("string"), blank) for c in ("conv_id", "turn")]
+    number = [F.coalesce(quoted(c).cast("string"), blank) for c in ("conv_id", "turn")]
     rows = conversations.select(
-        _column("conv_id"),
-        _column("turn"),
-        F.coalesce(_column("role").cast("string"), blank).alias("role"),
-        F.coalesce(_column("text").cast("string"), blank).alias("text"),
+        quoted("conv_id"),
+        quoted("turn"),
+        F.coalesce(quoted("role").cast("string"), blank).alias("role"),
+        F.coalesce(quoted("text").cast("string"), blank).alias("text"),
         (F.crc32(F.concat_ws(":", *number)) % 20).alias("_kind"),
     ).filter("_kind != 0")
     text = F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
@@ -345,10 +341,10 @@ def repair(
     """
     blank = F.lit(" ")
     rows = conversations.select(
-        _column(conv_col).alias("conversation"),
-        _column(turn_col).cast("long").alias("turn"),
-        F.coalesce(_column(role_col).cast("string"), blank).alias("role"),
-        F.coalesce(_column(text_col).cast("string"), blank).alias("text"),
+        quoted(conv_col).alias("conversation"),
+        quoted(turn_col).cast("long").alias("turn"),
+        F.coalesce(quoted(role_col).cast("string"), blank).alias("role"),
+        F.coalesce(quoted(text_col).cast("string"), blank).alias("text"),
     )
     content = [F.col("conversation").isNull(), F.col("conversation"), F.col("role"), F.col("text")]
     rows = rows.select("*", *[F.xxhash64(F.lit(i), *content).alias(f"key{i}") for i in (1, 2)])
@@ -429,7 +425,7 @@ def digest(turns: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     lines. The stretches of a conversation pass one task in order, one after the other,
     since the hash of a text cannot be put together from hashes of its parts; nothing but
     the hash's state is held."""
-    rows = turns.select(_column(conv_col).alias("conversation"), "stretch", "turns")
+    rows = turns.select(quoted(conv_col).alias("conversation"), "stretch", "turns")
     kind = f"conversation {rows.schema['conversation'].dataType.simpleString()}, sha256 string"
     ordered = rows.repartition("conversation").sortWithinPartitions("conversation", "stretch")
     out = arrow_map(ordered, _typed(kind, _digest_batches), kind)

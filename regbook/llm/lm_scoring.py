@@ -33,11 +33,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
-from .common import arrow_map, row_key
+from .common import arrow_map, quoted, row_key
 from .hashing import mix
 
 # Levels: a count of BASE ** q and more has level q + 1.
@@ -272,7 +272,7 @@ class Model:
 
 def train(texts: DataFrame, text_col: str = "text") -> Model:
     """A model of all rows of ``texts``; null texts count as empty ones."""
-    column = F.coalesce(_column(text_col).cast("string"), F.lit("")).alias("text")
+    column = F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text")
     rows = texts.select(column)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / SHARD_BYTES))))
@@ -504,10 +504,6 @@ def _score_by_shards(rows: DataFrame, model: Model, names: list[str]) -> DataFra
     return out.select(*names, "n_tokens", "n_known", "base_score", "score")
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def score(
     docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -520,8 +516,8 @@ def score(
     no text gives every token the probability 1."""
     names = [f"kept{i}" for i in range(len(keep))]
     rows = docs.select(
-        *[_column(c).alias(n) for c, n in zip(keep, names)],
-        F.coalesce(_column(text_col).cast("string"), F.lit("")).alias("text"),
+        *[quoted(c).alias(n) for c, n in zip(keep, names)],
+        F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"),
     )
     if model.size > limit:
         scored = _score_by_shards(rows, model, names)

@@ -23,11 +23,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
-from .common import arrow_map, row_key
+from .common import arrow_map, quoted, row_key
 
 # Pairs that are sent to all workers (13 bytes each).
 PAIRS = 4_000_000
@@ -309,10 +309,6 @@ def link_measures(aligned: DataFrame, pairs: DataFrame, most: int = PAIRS) -> Da
     )
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 OUT = (*MEASURES, "n_best", "count_sum", "groups_sha256")
 
 
@@ -328,8 +324,8 @@ def align(docs: DataFrame, models: Models, keep: tuple[str, ...] = ("doc_id",),
     their name. An empty table gives an empty result.
     """
     rows = docs.select(
-        *[_column(c).alias(f"kept{i}") for i, c in enumerate(keep)],
-        F.coalesce(_column(text_col).cast("string"), F.lit("")).alias("text"),
+        *[quoted(c).alias(f"kept{i}") for i, c in enumerate(keep)],
+        F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"),
     )
     texts = rows.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
     texts = texts.select(*[k.alias(f"key{i}") for i, k in enumerate(row_key("text"))], "copies", "text")
