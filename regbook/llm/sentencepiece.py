@@ -17,11 +17,14 @@ Every task works alone on its batches: no shuffle, and memory bounded by the bat
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ BLANK = "▁"
 CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
 MEMORY = 300_000
+# Words whose pieces a worker remembers, in each of two generations.
+WORDS = 100_000
 # Texts whose words share a trie; a batch of long ones is bounded in bytes before.
 ROWS = 1_000
 
@@ -93,22 +98,43 @@ class Encoder:
         for piece in vocabulary.ids:
             end = piece[-2:]
             self.longest[end] = max(self.longest.get(end, 0), len(piece))
+        # Words with their pieces, in two generations.
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.lowest = min((vocabulary.scores[i] for i in vocabulary.ids.values()), default=0.0)
 
     def merge(self, text: str) -> list[str]:
-        """BPE by its definition: join the best pair, the leftmost of equals, until
-        none is left."""
+        """BPE by its definition: join the best pair, the leftmost of equals, until none is
+        left. The pairs wait in a heap, so a long text takes little more than its length."""
         ids, scores = self.v.ids, self.v.scores
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = ids.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or scores[found] > best):
-                    best, at = scores[found], i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, after = list(text), list(range(1, len(text) + 1))
+        before = list(range(-1, len(text) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(left: int) -> None:
+            right = after[left]
+            if right < len(parts):
+                joined = parts[left] + parts[right]
+                found = ids.get(joined)
+                if found is not None:
+                    heappush(heap, (-scores[found], left, joined))
+
+        for i in range(len(parts) - 1):
+            offer(i)
+        while heap:
+            _, left, joined = heappop(heap)
+            right = after[left]
+            # Pairs of which one side has been joined since are stale.
+            if not parts[left] or right >= len(parts) or parts[left] + parts[right] != joined:
+                continue
+            parts[left], parts[right] = joined, ""
+            after[left] = after[right]
+            if after[left] < len(parts):
+                before[after[left]] = left
+            offer(left)
+            if before[left] >= 0:
+                offer(before[left])
+        return [p for p in parts if p]
 
     def _stable(self, piece: str) -> bool:
         found = self.whole.get(piece)
@@ -160,6 +186,18 @@ class Encoder:
     def _bytes(self, text: str) -> list[int]:
         return [self.v.byte_ids.get(b, 0) for b in text.encode("utf-8", "surrogatepass")]
 
+    def encode(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Piece numbers of distinct words. Those not known are walked as a trie; with many
+        known ones, words that nobody has asked for since the last time are forgotten."""
+        if len(self.known) > WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = [w for w in words if w not in known]
+        known.update((w, older[w]) for w in new if w in older)
+        walked = sorted(w for w in new if w not in older)
+        known.update(zip(walked, map(tuple, self.encode_sorted(walked))))
+        return [known[w] for w in words]
+
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Piece numbers of sorted distinct words, walked as a trie."""
         step = self._next_unigram if self.v.unigram else self._next_bpe
@@ -189,15 +227,16 @@ class Encoder:
             yield numbers[::-1]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:
     """One encoder per worker and vocabulary, so that its memory outlives a task."""
-    key = hash((len(vocabulary.pieces), vocabulary.unigram, tuple(vocabulary.pieces[-50:])))
-    if key not in _encoders:
-        _encoders[key] = Encoder(vocabulary)
-    return _encoders[key]
+    parts = (vocabulary.pieces, vocabulary.scores, vocabulary.byte_ids, vocabulary.unigram, vocabulary.usable)
+    name = hashlib.sha256(pickle.dumps(parts)).hexdigest()
+    if name not in _encoders:
+        _encoders[name] = Encoder(vocabulary)
+    return _encoders[name]
 
 
 def _marked(text: str) -> str:
@@ -212,24 +251,19 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -
         for text in batch.column(1):
             chunks = CHUNKS.findall(_marked(text.as_py() or ""))
             docs.append(np.array([numbers.setdefault(c, len(numbers)) for c in chunks], dtype=np.int32))
-        words = sorted(numbers)
-        place = np.empty(len(words), dtype=np.int64)
-        place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
-        del numbers
         # Flat arrays: a list per word would cost several times the text.
         packed, sizes = array("i"), array("i")
-        for ids in encoder.encode_sorted(words):
+        for ids in encoder.encode(list(numbers)):
             packed.extend(ids)
             sizes.append(len(ids))
-        del words
+        del numbers
         flat, sizes = np.array(packed, dtype=np.int32), np.array(sizes, dtype=np.int64)
         starts = np.concatenate(([0], np.cumsum(sizes)))
         lists, ends = [], [0]
         for doc in docs:
-            at = place[doc]
-            count = sizes[at]
+            count = sizes[doc]
             total = int(count.sum())
-            first = np.repeat(starts[at] - np.concatenate(([0], np.cumsum(count)[:-1])), count) if total else 0
+            first = np.repeat(starts[doc] - np.concatenate(([0], np.cumsum(count)[:-1])), count) if total else 0
             lists.append(flat[first + np.arange(total)] if total else flat[:0])
             ends.append(ends[-1] + total)
         values = np.concatenate(lists) if lists else flat[:0]
