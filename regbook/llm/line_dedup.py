@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise, scratch_path
-from .common import SPACES, blank_null, lower_ascii, row_key
+from .common import SPACES, blank_null, lower_ascii, quoted, row_key
 
-FANOUT = 4
+# Runs of a level that are compacted into one of the next, and batches of a corpus that
+# comes as a whole: more, so that later batches meet what earlier ones have settled.
+FANOUT = 2
 BATCHES = 4
 KEY = ["h1", "h2"]
 
@@ -35,7 +37,7 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     """``(r1, r2, doc, pos, h1, h2)`` per line: the row it stands in, its document, its
     place and the hash of its key. Lines with shorter keys are left out. A row without
     an id is a document of its own, as far as its text differs from others."""
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
     r1, r2 = row_key("doc_id", "text")
     rows = named.select(
         r1.alias("r1"),
@@ -106,6 +108,7 @@ def drop_frequent_lines(
     batches: int = BATCHES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """``docs`` with the lines found in at least ``min_docs`` documents taken out of
     ``text_col``, and the counts ``n_lines`` (before) and ``n_dropped`` added.
@@ -121,7 +124,7 @@ def drop_frequent_lines(
     lines.withColumn("batch", F.pmod("doc", F.lit(batches))).write.partitionBy("batch").parquet(path)
     schema = "r1 long, r2 long, doc long, pos int, h1 long, h2 long, batch int"
     lines = spark.read.schema(schema).parquet(path)
-    runs = LineRuns(min_docs)
+    runs = LineRuns(min_docs, fanout)
     for batch in range(batches):
         runs.add(lines.filter(F.col("batch") == batch).select(*KEY, "doc"))
     dropped = (
@@ -131,7 +134,9 @@ def drop_frequent_lines(
     )
     r1, r2 = row_key("_id", "_text")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*kept, F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    # The other columns travel in a struct, where no name can clash with one of ours.
+    carried = F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)])
+    rows = docs.select(carried.alias("_kept"), quoted(id_col).alias("_id"), quoted(text_col).alias("_text"))
     rows = rows.withColumns({"_r1": r1, "_r2": r2}).join(
         dropped.withColumnsRenamed({"r1": "_r1", "r2": "_r2", "dropped": "_dropped"}), ["_r1", "_r2"], "left"
     )
@@ -148,7 +153,7 @@ def drop_frequent_lines(
     rows = rows.withColumn("_flags", F.when(F.col("_dropped").isNotNull(), flags))
     text = F.when(F.col("_dropped").isNull(), blank_null("_text")).otherwise(F.array_join(lines_left, "\n"))
     return rows.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in kept],
+        *[text.alias(c) if c == text_col else F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(kept)],
         F.size(split).cast("long").alias("n_lines"),
         F.when(F.col("_dropped").isNull(), 0).otherwise(F.size("_dropped")).cast("long").alias("n_dropped"),
     )
