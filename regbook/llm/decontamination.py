@@ -5,8 +5,13 @@ every other word is lower-cased and stripped of punctuation at its ends. Windows
 ``WINDOW`` template words are hashed, and document windows are hash-joined with those of
 the benchmark items. A hit is checked by its slots: over the aligned windows of a
 document and an item, the same item value must always stand for the same document value
-and the other way round. Questions asked again with other numbers or names thus match,
-while chance templates with unrelated fillings do not.
+and the other way round. Windows that hold a value which breaks this do not count, unless
+all their slots are filled as in the item. Questions asked again with other numbers or
+names thus match, while chance templates with unrelated fillings do not, and a copy stays
+one if some of its values were changed.
+
+An item without a window of its own (too short, or nearly all placeholders) has one key
+instead: all its words as they are.
 
 The benchmark is the small side, but its size is never taken for granted: its windows go
 to the workers in blocks of at most ``BLOCK`` hashes, all documents against each block,
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
-from .common import arrow_map
+from .common import arrow_map, quoted
 
 WINDOW = 8
 # Plain words a window needs; placeholders alone say too little.
@@ -131,23 +136,53 @@ def _slots(values: np.ndarray, kinds: np.ndarray, start: int, window: int) -> li
     return values[part][kinds[part] != PLAIN].view(np.int64).tolist()
 
 
+def exact_hashes(values: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of every ``length`` words as they are, apart from those of templates."""
+    n = len(values) - length + 1
+    total = np.full(max(0, n), length, dtype=np.uint64)
+    for i in range(length if n > 0 else 0):
+        total = total * np.uint64(0xD6E8FEB86659FD93) + (values[i : i + n] ^ (values[i : i + n] >> np.uint64(31)))
+    return total
+
+
+def _keys(values, hashes, kinds, window: int, min_plain: int, lengths: tuple[int, ...] | None):
+    """(start, length, hash) of all keys of a text: template windows, and words as they are
+    of the given lengths, which are told apart by a minus. Without lengths the text is an
+    item."""
+    at, found = window_hashes(hashes, kinds, window, min_plain)
+    sizes = np.full(len(at), window)
+    if lengths is None:
+        lengths = () if len(at) or not len(values) else (len(values),)
+    for length in lengths:
+        exact = exact_hashes(values, length)
+        at = np.concatenate((at, np.arange(len(exact))))
+        sizes = np.concatenate((sizes, np.full(len(exact), -length)))
+        found = np.concatenate((found, exact))
+    return at, sizes, found
+
+
 def _window_batches(
-    batches: Iterator[pa.RecordBatch], window: int, min_plain: int, wanted: np.ndarray | None
+    batches: Iterator[pa.RecordBatch],
+    window: int,
+    min_plain: int,
+    wanted: np.ndarray | None,
+    lengths: tuple[int, ...] | None,
 ) -> Iterator[pa.RecordBatch]:
     words = Words()
     for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-        keys, starts, found, slots = [], [], [], []
+        keys, starts, lasts, found, slots = [], [], [], [], []
         templates = words.templates(batch.column(1).to_pylist())
         for key, (hashes, values, kinds) in zip(batch.column(0).to_pylist(), templates):
-            at, windows = window_hashes(hashes, kinds, window, min_plain)
+            at, sizes, windows = _keys(values, hashes, kinds, window, min_plain, lengths)
             if wanted is not None and len(windows):
                 place = np.minimum(np.searchsorted(wanted, windows), len(wanted) - 1)
                 hit = wanted[place] == windows
-                at, windows = at[hit], windows[hit]
+                at, sizes, windows = at[hit], sizes[hit], windows[hit]
             keys += [key] * len(at)
             starts += at.tolist()
+            lasts += sizes.tolist()
             found.append(windows)
-            slots += [_slots(values, kinds, i, window) for i in at.tolist()]
+            slots += [_slots(values, kinds, i, abs(n)) for i, n in zip(at.tolist(), sizes.tolist())]
         if words.full():
             words = Words()
         hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
@@ -155,19 +190,25 @@ def _window_batches(
             [
                 pa.array(keys, batch.column(0).type),
                 pa.array(starts, pa.int32()),
+                pa.array(lasts, pa.int32()),
                 pa.array(hashes.view(np.int64)),
                 pa.array(slots, pa.list_(pa.int64())),
             ],
-            names=["id", "start", "window", "slots"],
+            names=["id", "start", "length", "window", "slots"],
         )
 
 
-def _windows(rows: DataFrame, window: int, min_plain: int, wanted: np.ndarray | None = None) -> DataFrame:
+def _windows(
+    rows: DataFrame,
+    window: int,
+    min_plain: int,
+    wanted: np.ndarray | None = None,
+    lengths: tuple[int, ...] | None = None,
+) -> DataFrame:
     kind = rows.schema[0].dataType.simpleString()
-    schema = f"id {kind}, start int, window long, slots array<long>"
-    return arrow_map(
-        rows, partial(_window_batches, window=window, min_plain=min_plain, wanted=wanted), schema
-    )
+    schema = f"id {kind}, start int, length int, window long, slots array<long>"
+    how = partial(_window_batches, window=window, min_plain=min_plain, wanted=wanted, lengths=lengths)
+    return arrow_map(rows, how, schema)
 
 
 def _hits(rows: DataFrame, items: DataFrame, window: int, min_plain: int, block: int) -> DataFrame:
@@ -176,12 +217,15 @@ def _hits(rows: DataFrame, items: DataFrame, window: int, min_plain: int, block:
     # twice as many as needed on average leaves no block above the bound.
     distinct = items.select("window").distinct()
     blocks = -(-2 * distinct.count() // block) or 1
+    # A length of items that have one key is looked for once, whoever has it.
+    whole = items.filter("length < 0").select("length").distinct()
+    lengths = tuple(sorted(-r[0] for r in whole.collect()))
     found = []
     for i in range(blocks):
         part = distinct.filter(F.pmod("window", F.lit(blocks)) == i).toArrow().column(0).to_numpy()
         if len(part):
             wanted = np.sort(part.view(np.uint64))
-            found.append(_windows(rows, window, min_plain, wanted))
+            found.append(_windows(rows, window, min_plain, wanted, lengths))
     if not found:
         return _windows(rows.limit(0), window, min_plain)
     return reduce(DataFrame.unionByName, found)
@@ -202,19 +246,15 @@ def contaminated(
     benchmark item that share windows with consistent slots.
 
     ``n_windows`` counts the document's windows that match at the same offset between
-    the two texts, ``first_word`` is where the first starts, ``same_slots`` tells
-    whether all slot values are equal too (a copy) or only consistent (asked again with
-    other values). Null and empty texts, and those of fewer than ``window`` words, share
-    nothing. Rows without an id are left out of the pairs unless ``id_col`` is filled
+    the two texts and whose slots contradict none of the others, ``first_word`` is where the
+    first starts, ``same_slots`` tells whether all their slot values are equal too (a copy)
+    or only consistent (asked again with other values). Null and empty texts share
+    nothing; an item without a template window is found by all its words as they are. Rows without an id are left out of the pairs unless ``id_col`` is filled
     before. Repeated rows give the same pair once; several runs of one item in a
     document, too, with the best of them."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    items = materialise(
-        _windows(
-            benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text")), window, min_plain
-        ),
-        "item-windows",
-    )
+    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
+    asked = benchmark.select(quoted(item_col).alias("id"), quoted(item_text_col).alias("text"))
+    items = materialise(_windows(asked, window, min_plain), "item-windows")
     hits = materialise(_hits(rows, items, window, min_plain, block), "hits")
     met = hits.withColumnsRenamed({"id": "doc_id", "start": "at", "slots": "doc_slots"}).join(
         items.withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), "window"
@@ -223,20 +263,26 @@ def contaminated(
     # repeat a slot; as long as it is filled alike everywhere that changes nothing.
     run = ["doc_id", "item_id", "offset"]
     placed = met.withColumn("offset", F.col("at") - F.col("start"))
-    slots = placed.select(*run, F.explode_outer(F.arrays_zip("doc_slots", "item_slots")).alias("s"))
-    pairs = slots.select(
-        *run, F.col("s.doc_slots").alias("d"), F.col("s.item_slots").alias("i")
-    ).distinct()
-    consistent = pairs.groupBy(*run).agg(
-        (
-            (F.count("d") == F.count_distinct("d")) & (F.count("i") == F.count_distinct("i"))
-        ).alias("consistent"),
-        F.coalesce(F.bool_and(F.col("d") == F.col("i")), F.lit(True)).alias("same_slots"),
+    slots = placed.select(*run, F.explode(F.arrays_zip("doc_slots", "item_slots")).alias("s"))
+    pairs = slots.select(*run, F.col("s.doc_slots").alias("d"), F.col("s.item_slots").alias("i")).distinct()
+    # Values that stand for two; a passage has at most as many as the item has slots.
+    several = [
+        pairs.groupBy(*run, side).agg(F.count("*").alias("n")).filter("n > 1").groupBy(*run).agg(
+            F.collect_list(side).alias(f"broken_{side}")
+        )
+        for side in ("d", "i")
+    ]
+    none = F.array().cast("array<bigint>")
+    judged = placed.join(several[0], run, "left").join(several[1], run, "left")
+    broken = F.arrays_overlap("doc_slots", F.coalesce("broken_d", none)) | F.arrays_overlap(
+        "item_slots", F.coalesce("broken_i", none)
     )
-    passages = placed.groupBy(*run).agg(
-        F.count_distinct("at").alias("n_windows"), F.min("at").cast("long").alias("first_word")
+    same = F.col("doc_slots") == F.col("item_slots")
+    good = judged.filter(same | ~broken).groupBy(*run).agg(
+        F.count_distinct("at").alias("n_windows"),
+        F.min("at").cast("long").alias("first_word"),
+        F.bool_and(same).alias("same_slots"),
     )
-    good = passages.join(consistent.filter("consistent"), run)
     return good.groupBy("doc_id", "item_id").agg(
         F.max("n_windows").alias("n_windows"),
         F.min_by("first_word", F.struct(-F.col("n_windows"), F.col("first_word"))).alias("first_word"),

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import pytest
 import xxhash
@@ -116,9 +117,8 @@ def test_simhash_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_first(empty).count() == 0
 
 
-@pytest.mark.parametrize("batches", [1, 9])
-def test_line_dedup(odd, empty, monkeypatch, batches):
-    monkeypatch.setattr(line_dedup, "FANOUT", 2)
+@pytest.mark.parametrize("batches, fanout", [(1, 4), (4, 2), (9, 2), (9, 3)])
+def test_line_dedup(odd, empty, batches, fanout):
     data = odd.withColumn("n_lines", F.lit(9)).withColumn("text", F.concat("text", F.lit("\n  Same Line\t")))
     docs = collections.defaultdict(set)
     rows = data.select("doc_id", "text").collect()
@@ -131,7 +131,10 @@ def test_line_dedup(odd, empty, monkeypatch, batches):
         lines = (r.text or "").split("\n")
         left = [x for x in lines if not (key(x) and len(docs[key(x)]) >= 4)]
         expected.append((r.doc_id or -1, "\n".join(left), len(lines), len(lines) - len(left)))
-    got = line_dedup.drop_frequent_lines(data, min_docs=4, batches=batches)
+    for name in ("_id", "_text", "_dropped", "_kept", "a.b"):
+        data = data.withColumn(name, F.lit("x"))
+    got = line_dedup.drop_frequent_lines(data, min_docs=4, batches=batches, fanout=fanout)
+    assert got.columns == [*data.columns[:-6], *[c for c in data.columns[-6:] if c != "n_lines"], "n_lines", "n_dropped"]
     assert sorted((r.doc_id or -1, r.text, r.n_lines, r.n_dropped) for r in got.collect()) == sorted(expected)
     assert line_dedup.drop_frequent_lines(empty).count() == 0
 
@@ -173,14 +176,115 @@ def test_contamination(spark, odd, empty):
     )
     for block in (3, 4_000_000):
         got = {r.doc_id: r for r in decontamination.contaminated(docs, benchmark, block=block).collect()}
-        assert set(got) == {1, 2} and got[1].same_slots and not got[2].same_slots
+        assert set(got) == {1, 2, 3} and got[1].same_slots and not got[2].same_slots
+        assert got[3].n_windows < got[2].n_windows
     left = decontamination.drop_contaminated(docs.withColumn("bad", F.lit(1)), benchmark)
-    assert {r.doc_id for r in left.collect()} == {3, 4}
+    assert {r.doc_id for r in left.collect()} == {4}
     assert decontamination.drop_contaminated(odd, benchmark).count() == odd.count()
     assert decontamination.contaminated(empty, benchmark).count() == 0
     assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def brute_contamination(docs, items):
+    """All pairs of texts, window by window, with the same words and templates."""
+    out = {}
+    texts = [t for _, t in docs] + [t for _, t in items]
+    words = decontamination.Words()
+    parts = list(words.templates(texts))
+    size, plain = decontamination.WINDOW, decontamination.MIN_PLAIN
+    cut = lambda h, k: {
+        i for i in range(len(h) - size + 1) if sum(x == 0 for x in k[i : i + size]) >= plain
+    }
+    for (doc, _), (dh, dv, dk) in zip(docs, parts):
+        for (item, _), (ih, iv, ik) in zip(items, parts[len(docs) :]):
+            doc_windows, item_windows = cut(dh, dk), cut(ih, ik)
+            runs = collections.defaultdict(list)
+            for j in item_windows:
+                for i in doc_windows:
+                    if list(dh[i : i + size]) == list(ih[j : j + size]):
+                        runs[i - j].append((i, [(dv[i + x], iv[j + x]) for x in range(size) if dk[i + x] != 0]))
+            if not item_windows and len(iv):
+                for i in range(len(dv) - len(iv) + 1):
+                    if list(dv[i : i + len(iv)]) == list(iv):
+                        runs[i].append((i, []))
+            best = 0
+            for windows in runs.values():
+                pairs = {p for _, slots in windows for p in slots}
+                d, k = collections.Counter(p[0] for p in pairs), collections.Counter(p[1] for p in pairs)
+                fine = [i for i, s in windows if all(a == b for a, b in s) or all(d[a] == 1 == k[b] for a, b in s)]
+                best = max(best, len(set(fine)))
+            if best:
+                out[doc, item] = best
+    return out
+
+
+def test_contamination_is_what_all_pairs_give(spark):
+    rng = random.Random(12)
+    plain = "the a river went fast along and wants to know how far it is from here".split()
+    slots = ["120", "3", "7.5", "km", "hours", "kg", "Alice", "Robert", "Paris", "Monday"]
+
+    def sentence(n):
+        return [rng.choice(slots) if rng.random() < 0.2 else rng.choice(plain) for _ in range(n)]
+
+    items = [(i, sentence(rng.choice([3, 5, 7, 9, 15, 30]))) for i in range(25)]
+    docs = []
+    for i in range(80):
+        body = list(rng.choice(items)[1])
+        for at in range(len(body)):
+            if body[at] in slots and rng.random() < 0.25:
+                body[at] = rng.choice(slots)
+        docs.append((i, " ".join(sentence(rng.randint(0, 20)) + body + sentence(rng.randint(0, 20)))))
+    items = [(i, " ".join(t)) for i, t in items] + [(90, ""), (91, "12 kg plus 7 kg minus 3 kg plus 5 kg is what?")]
+    items += [(92, "What is the capital of France?")]
+    docs += [(200, "He asked: what is the capital of France? Nobody knew."), (201, f"so {items[-2][1]} indeed"), (202, "")]
+    got = decontamination.contaminated(
+        make(spark, docs, "doc_id long, text string"), make(spark, items, "item_id long, text string")
+    ).collect()
+    expected = brute_contamination(docs, items)
+    assert {(r.doc_id, r.item_id): r.n_windows for r in got} == expected
+    assert {(200, 92), (201, 91)} <= set(expected)
+
+
+def test_altered_copies_stay_copies(spark):
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    item = " ".join([*words, "Alice", "paid", "120", "euros", *words[:10], "and", "then", "Alice", "got", "3", *words[10:]])
+    altered = [item.replace("then Alice", "then Robert"), item.replace("120", "3")]
+    found = decontamination.contaminated(
+        make(spark, list(enumerate(altered)), "doc_id long, text string"), make(spark, [(1, item)], "item_id long, text string")
+    )
+    assert {r.doc_id for r in found.collect()} == {0, 1}
+
+
+def test_long_blank_runs(spark):
+    vocabulary = sentencepiece.Vocabulary.load(PIECES)
+    from sentencepiece import SentencePieceProcessor
+
+    library, encoder = SentencePieceProcessor(model_file=PIECES), sentencepiece.Encoder(vocabulary)
+    start = time.perf_counter()
+    (got,) = encoder.encode(["▁" * 100_001])
+    assert time.perf_counter() - start < 5 and list(got) == library.encode(" " * 100_000)
+    rng = random.Random(2)
+    for _ in range(200):
+        text = "".join(rng.choices("▁▁▁▁ab", k=rng.randint(1, 40)))
+        assert encoder.merge(text) == slow_merge(vocabulary, text)
+
+
+def slow_merge(vocabulary, text):
+    parts = list(text)
+    while True:
+        found = [(-vocabulary.scores[vocabulary.ids[a + b]], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in vocabulary.ids]
+        if not found:
+            return parts
+        _, i = min(found)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_vocabularies_do_not_share_an_encoder():
+    one = sentencepiece.Vocabulary(["▁a", "a", "▁"], [0.0, 0.0, 0.0], {}, True, [True] * 3)
+    other = sentencepiece.Vocabulary(["▁a", "a", "▁"], [-9.0, 0.0, 0.0], {}, True, [True] * 3)
+    assert sentencepiece._encoder(one) is not sentencepiece._encoder(other)
+
+
 def test_sentencepiece_equals_the_library(spark, odd, empty):
     from sentencepiece import SentencePieceProcessor
 
