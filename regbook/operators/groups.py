@@ -6,9 +6,11 @@ then joined back:
 
 * if the measured table fits the session's broadcast limit, it is broadcast and the
   rows are not shuffled at all;
-* otherwise rows of the heaviest groups - at most ``1 / HOT_SHARE`` of them, so their
-  table is bounded - meet a broadcast of just those groups, and the remaining rows,
-  none of whose groups is large, take an ordinary shuffle join.
+* otherwise rows and groups meet in a shuffle join, for which a large group is split: its
+  measured size says into how many pieces of ``HOT_SHARE`` of all rows, its row of the
+  table is repeated that often, and the content of a row decides its piece. Only groups
+  with more than one piece - at most ``1 / HOT_SHARE``, so their table is bounded - need to
+  be known beforehand, from a broadcast. The rows are read once.
 
 Both ways give every row exactly its group's values.
 """
@@ -24,18 +26,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from ..functions.columns import quoted
 from ..storage import materialise
 
 HOT_SHARE = 0.001
 _ROWS = "__group_rows"
 _KEY = "__group_key_"
-_UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
+_PIECE, _PIECES = "__group_piece", "__group_pieces"
+_UNITS = {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40, "p": 2**50}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when switched off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text).groups()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text).groups()
     return int(number) * _UNITS[unit]
 
 
@@ -58,28 +62,31 @@ class GroupTable:
         """Every row of ``df`` with the values of its group. NULL keys form a group, and
         a row whose group is not in the table gets NULL values."""
         limit = broadcast_limit(df.sparkSession) if limit is None else limit
-        # The heaviest groups are recognised by their share of all rows.
-        slim = self.table.drop(_ROWS)
         if self.bytes <= limit:
-            return self._join(df, F.broadcast(slim), "left")
-        hot = F.col(_ROWS) >= max(1.0, self.rows * HOT_SHARE)
-        heavy = F.broadcast(self.table.filter(hot).drop(_ROWS))
+            return self._join(df, F.broadcast(self.table.drop(_ROWS)), self._same_group())
+        pieces = F.ceil(F.col(_ROWS) / max(1.0, self.rows * HOT_SHARE)).cast("int")
+        sized = self.table.withColumn(_PIECES, pieces).drop(_ROWS)
+        large = F.broadcast(sized.filter(F.col(_PIECES) > 1).select(*self.key_columns, _PIECES))
+        # By content, so that a task that is run again deals its rows out as before.
+        piece = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.col(_PIECES))
+        dealt = df.join(large, self._same_group(), "left").withColumn(_PIECE, F.coalesce(piece.cast("int"), F.lit(0)))
+        copies = sized.withColumn(f"{_PIECE}_", F.explode(F.sequence(F.lit(0), F.col(_PIECES) - 1))).drop(_PIECES)
         # Compressed files may look small enough to broadcast; the measured size is not.
-        light = self.table.filter(~hot).drop(_ROWS).hint("merge")
-        cold_rows = df.join(heavy, self._same_group(), "left_anti")
-        return self._join(df, heavy, "inner").unionByName(self._join(cold_rows, light, "left"))
+        same = self._same_group() & (F.col(_PIECE) == F.col(f"{_PIECE}_"))
+        return self._join(dealt.drop(*self.key_columns, _PIECES), copies.hint("merge"), same, df.columns)
 
     def _same_group(self) -> Column:
-        pairs = [F.col(k).eqNullSafe(F.col(f"{_KEY}{i}")) for i, k in enumerate(self.keys)]
+        pairs = [F.col(quoted(k)).eqNullSafe(F.col(g)) for k, g in zip(self.keys, self.key_columns)]
         return reduce(Column.__and__, pairs)
 
-    def _join(self, df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
-        return df.join(groups, self._same_group(), how).select(*df.columns, *self.values)
+    def _join(self, df: DataFrame, groups: DataFrame, same: Column, columns: Sequence[str] | None = None) -> DataFrame:
+        kept = [F.col(quoted(c)) for c in (df.columns if columns is None else columns)]
+        return df.join(groups, same, "left").select(*kept, *self.values)
 
 
 def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> GroupTable:
     """Aggregate ``df`` per group and write the result to the shared folder."""
-    summary = df.groupBy(*[F.col(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)]).agg(
+    summary = df.groupBy(*[F.col(quoted(k)).alias(f"{_KEY}{i}") for i, k in enumerate(keys)]).agg(
         F.count(F.lit(1)).alias(_ROWS), *[v.alias(name) for name, v in values.items()]
     )
     table = materialise(summary, "groups")
