@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -44,6 +44,11 @@ BLANK = "▁"
 # any version of what that is.
 _OTHER = r"[^\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]"
 WORD_START = re.compile(f"(?<={_OTHER}) (?={_OTHER})")
+# A word that others may stand before and behind without a change to either.
+JOINABLE = re.compile(f" {_OTHER}(?:.*{_OTHER})?", re.DOTALL)
+# New words that are encoded in one go.
+CHUNK = 2_000
+SEPARATORS = (",", "|", ";", "\n")
 
 
 @dataclass(frozen=True)
@@ -80,19 +85,22 @@ class Aligner:
         self.a.no_padding()
         self.b = SentencePieceProcessor(model_proto=models.pieces)
         byte = _byte_of()
-        self.a_bytes = {i: bytes(byte.get(c, 0) for c in token) for token, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(byte.get(c, 0) for c in token)
         self.b_bytes, self.n_b = [], self.b.vocab_size()
         for i in range(self.n_b):
             piece = self.b.id_to_piece(i)
             if BLANK in piece.lstrip(BLANK):
                 raise ValueError(f"a piece that spans words: {piece!r}")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(BLANK, " ").encode())
-        self.n_a = max(self.a_bytes, default=-1) + 1
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
         # word -> (A tokens, B tokens, groups or None, linked pairs)
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def recall(self, words: set[str]) -> None:
+    def recall(self, words: Iterable[str]) -> None:
         """Make all these words known. When there are many, words that nobody has asked for
         since the last time are forgotten."""
         if len(self.known) > MEMORY:
@@ -105,11 +113,53 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Encode words (each with the blank before it) and remember what they give."""
-        ours = self.a.encode_batch_fast(words, add_special_tokens=False)
-        theirs = self.b.encode([w[1:] for w in words], num_threads=1)
-        for word, a, b in zip(words, (e.ids for e in ours), theirs):
+        alone, joinable = [], []
+        for word in words:
+            (joinable if JOINABLE.fullmatch(word) else alone).append(word)
+        for i in range(0, len(joinable), CHUNK):
+            chunk = joinable[i : i + CHUNK]
+            found = self._align_joined(chunk)
+            if found is None:
+                alone += chunk
+            else:
+                self.known.update(zip(chunk, found))
+        ours = self.a.encode_batch_fast(alone, add_special_tokens=False)
+        theirs = self.b.encode([w[1:] for w in alone], num_threads=1)
+        for word, a, b in zip(alone, (e.ids for e in ours), theirs):
             self.known[word] = self._align(word.encode(), a, b)
 
+    def _align_joined(self, words: list[str]) -> list[tuple] | None:
+        """What ``_align`` gives for each of the words, from their encoding as one text;
+        ``None`` if one of them is not given back as it is."""
+        text = "".join(words)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text[1:])
+        raw = text.encode()
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.cumsum([len(w.encode()) for w in words])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        at = np.searchsorted(common, ends)
+        if (common[np.minimum(at, len(common) - 1)] != ends).any():
+            return None
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = ends_a == common[group_a], ends_b == common[group_b]
+        closes = np.zeros(len(common), dtype=bool)
+        closes[at] = True
+        # All tokens by group, those of A first, each with what stands behind it.
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        behind = np.concatenate((last_a.astype(int), np.where(last_b, np.where(closes[group_b], 3, 2), 0)))[order]
+        ids = np.concatenate((a, b))[order]
+        groups = "".join([f"{i}{SEPARATORS[x]}" for i, x in zip(ids.tolist(), behind.tolist())]).split("\n")
+        pairs = (a[last_a] * self.n_b + b[last_b]).tolist()
+        counts = [np.diff(np.searchsorted(e, ends, side="right"), prepend=0).tolist() for e in (ends_a, ends_b)]
+        starts = [0, *(at + 1).tolist()]
+        return [
+            (n_a, n_b, group, tuple(pairs[i:j])) for n_a, n_b, group, i, j in zip(*counts, groups, starts, starts[1:])
+        ]
+
     def _align(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
         ours, theirs = self.a_bytes, self.b_bytes
         if b"".join([ours[i] for i in a]) != raw or b"".join([theirs[i] for i in b]) != raw:
@@ -159,33 +209,42 @@ def _align_batches(batches: Iterator[pa.RecordBatch], models: Models, groups: bo
     aligner = _aligner(models)
     for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
         texts = [words_of(t) if t else [] for t in batch.column("text").to_pylist()]
-        aligner.recall({w for words in texts for w in words})
-        known = aligner.known
+        places: dict[str, int] = {}
+        at_words = [np.array([places.setdefault(w, len(places)) for w in words], dtype=np.int64) for words in texts]
+        del texts
+        aligner.recall(places.keys())
+        found = [aligner.known[w] for w in places]
+        known_groups = [f[2] for f in found]
+        usable = np.array([g is not None for g in known_groups], dtype=bool)
+        numbers = np.array([(f[0], f[1], len(f[3])) for f in found], dtype=np.int64).reshape(-1, 3)
+        flat = np.array([p for f in found for p in f[3]], dtype=np.int64)
+        firsts = np.cumsum(numbers[:, 2]) - numbers[:, 2]
         rows, joined, codes, counts, sizes = [], [], [], [], []
-        for words in texts:
-            found = [known[w] for w in words]
-            if not found or any(f[2] is None for f in found):
+        for at in at_words:
+            if not len(at) or not usable[at].all():
                 rows.append((0, 0, 0, ""))
                 joined.append("")
                 sizes.append(0)
                 continue
-            text = ";".join([f[2] for f in found])
-            pairs = np.array([p for f in found for p in f[3]], dtype=np.int64)
-            rows.append((sum(f[0] for f in found), sum(f[1] for f in found), len(pairs), hashlib.sha256(text.encode()).hexdigest()))
+            n_a, n_b, links = numbers[at].sum(axis=0).tolist()
+            text = ";".join([known_groups[i] for i in at.tolist()])
+            each = numbers[at, 2]
+            place = np.arange(links) + np.repeat(firsts[at] - (np.cumsum(each) - each), each)
+            rows.append((n_a, n_b, links, hashlib.sha256(text.encode()).hexdigest()))
             joined.append(text if groups else "")
-            own, n = np.unique(pairs, return_counts=True)
+            own, n = np.unique(flat[place], return_counts=True)
             codes.append(own)
             counts.append(n)
             sizes.append(len(own))
         n_a, n_b, links, sha = zip(*rows)
-        numbers = [pa.array(c, pa.int64()) for c in (n_a, n_b, links, links)]
+        totals = [pa.array(c, pa.int64()) for c in (n_a, n_b, links, links)]
         kept = [c for n, c in zip(batch.schema.names, batch.columns) if n != "text"]
         empty = [np.zeros(0, np.int64)]
         pairs = [_lists(np.concatenate(codes + empty), sizes), _lists(np.concatenate(counts + empty).astype(np.int32), sizes)]
         own = [pa.array(joined, pa.string())] if groups else []
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*kept, *numbers, pa.array(sha, pa.string()), *pairs, *own],
+            [*kept, *totals, pa.array(sha, pa.string()), *pairs, *own],
             names=[*names, *MEASURES, "groups_sha256", "codes", "counts", *["groups"][: len(own)]],
         )
 
