@@ -22,7 +22,7 @@ BYTE_LEVEL = f"{TOKENIZERS}/byte_bpe_50k.json"
 # Edits of the token count query: what goes and what takes its place.
 EDITS = (
     (r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<email>"),
-    (r"[ \t]+(?=\n)", ""),
+    (r"(?<![ \t])[ \t]+(?=\n)", ""),
     (r"(?<=[0-9]{4})[0-9]{4,}", ""),
 )
 

@@ -15,6 +15,8 @@ Trees travel as columns, one array per sum in heap order (node ``i`` has the chi
 from __future__ import annotations
 
 import base64
+import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, quoted
 
 # Fixed value: the pre-token pattern of the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -68,50 +70,94 @@ class Counter:
         sizes[:, CHARS] = list(map(len, pre))
         sizes[:, TOKENS] = list(map(self.size, pre))
         sizes[:, PRE] = 1
-        leaves = max(1, -(-len(pre) // LEAF))
-        width = 1 << (leaves - 1).bit_length()
-        tree = np.zeros((2 * width, 3), dtype=np.int32)
-        if pre:
-            tree[width : width + leaves] = np.add.reduceat(sizes, np.arange(0, len(pre), LEAF))
-        level = width
-        while level > 1:
-            tree[level // 2 : level] = tree[level : 2 * level : 2] + tree[level + 1 : 2 * level : 2]
-            level //= 2
-        return tree
-
-    def edit(self, text: str, tree: np.ndarray, start: int, end: int, put: str) -> tuple[str, int]:
-        """``text`` with ``put`` in place of ``start:end``, its ``tree`` updated in
-        place, and how many pre-tokens were encoded for that."""
+        return _tree_of(np.add.reduceat(sizes, np.arange(0, len(pre), LEAF)) if pre else sizes)
+
+    def edit(
+        self, text: str, tree: np.ndarray, edits: list[tuple[int, int, str]]
+    ) -> tuple[str, np.ndarray, int]:
+        """``text`` with each edit's ``put`` in place of ``start:end``, its tree, and how many
+        pre-tokens were encoded for that. Edits are in order, in places of the text as it
+        was, and do not overlap. One sweep makes them all."""
+        pieces, at = [], 0
+        for start, end, put in edits:
+            pieces += [text[at:start], put]
+            at = end
+        new = "".join([*pieces, text[at:]])
+        width = len(tree) // 2
+        regions, i, grown, encoded = [], 0, 0, 0
+        while i < len(edits):
+            first, offset = self._needed_from(tree, edits[i])
+            last, border = first, offset + int(tree[width + first][CHARS])
+            at, sizes = offset + grown, []
+            while True:
+                # Take in the edits that need these leaves.
+                while i < len(edits) and self._needed_from(tree, edits[i])[0] <= last:
+                    start, end, put = edits[i]
+                    reach, place = _leaf_at(tree, max(start, end - 1))
+                    if reach > last:
+                        last, border = reach, place + int(tree[width + reach][CHARS])
+                    grown += len(put) - (end - start)
+                    i += 1
+                while at < border + grown and (match := self.next(new, at)):
+                    at = match.end()
+                    sizes.append((at - match.start(), self.size(match[0]), 1))
+                # In step with the old text again, unless the next edit is near.
+                if at == border + grown and (i == len(edits) or self._needed_from(tree, edits[i])[0] > last):
+                    break
+                if at > border + grown:
+                    last += 1
+                    border += int(tree[width + last][CHARS])
+            regions.append((first, last, np.array(sizes, dtype=np.int32).reshape(-1, 3)))
+            encoded += len(sizes)
+        return new, _with_regions(tree, regions), encoded
+
+    def _needed_from(self, tree: np.ndarray, edit: tuple[int, int, str]) -> tuple[int, int]:
+        """The leaf to encode from for an edit, and where it starts: the pre-token before an
+        edit may change if the edit is at its end, the one before that cannot."""
         width = len(tree) // 2
-        first, offset = _leaf_at(tree, start)
-        last, last_offset = _leaf_at(tree, max(start, end - 1))
-        # The pre-token before the edit may change if the edit is at its end, the one
-        # before that cannot.
+        leaf, offset = _leaf_at(tree, edit[0])
         before = 0
-        while first > 0 and before < 2:
-            first -= 1
-            offset -= int(tree[width + first][CHARS])
-            before += int(tree[width + first][PRE])
-        text = text[:start] + put + text[end:]
-        grown = len(put) - (end - start)
-        border = last_offset + int(tree[width + last][CHARS]) + grown
-        at, pre, tokens = offset, 0, 0
-        while True:
-            while at < border and (match := self.next(text, at)):
-                at = match.end()
-                pre += 1
-                tokens += self.size(match[0])
-            if at == border or at >= len(text):
-                break
-            while border < at:
-                last += 1
-                border += int(tree[width + last][CHARS])
-        new = np.zeros((last - first + 1, 3), dtype=np.int32)
-        # All that was encoded again goes to the first of the leaves; the others are
-        # empty until the tree is built anew.
-        new[0] = (at - offset, tokens, pre)
-        _replace(tree, first, new)
-        return text, pre
+        while leaf > 0 and before < 2:
+            leaf -= 1
+            offset -= int(tree[width + leaf][CHARS])
+            before += int(tree[width + leaf][PRE])
+        return leaf, offset
+
+
+def _tree_of(leaves: np.ndarray) -> np.ndarray:
+    """The tree above some leaves."""
+    width = 1 << max(0, len(leaves) - 1).bit_length()
+    tree = np.zeros((2 * width, 3), dtype=np.int32)
+    tree[width : width + len(leaves)] = leaves
+    level = width
+    while level > 1:
+        tree[level // 2 : level] = tree[level : 2 * level : 2] + tree[level + 1 : 2 * level : 2]
+        level //= 2
+    return tree
+
+
+def _with_regions(tree: np.ndarray, regions: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
+    """The tree with new pre-tokens in place of some leaves. They are spread evenly over
+    the leaves they replace; where that would make leaves of more than twice ``LEAF``,
+    there are new leaves and the sums are made anew."""
+    width = len(tree) // 2
+    if all(len(sizes) <= 2 * LEAF * (last - first + 1) for first, last, sizes in regions):
+        for first, last, sizes in regions:
+            leaves = np.zeros((last - first + 1, 3), dtype=np.int32)
+            each = max(1, -(-len(sizes) // len(leaves)))
+            if len(sizes):
+                own = np.add.reduceat(sizes, np.arange(0, len(sizes), each))
+                leaves[: len(own)] = own
+            _replace(tree, first, leaves)
+        return tree
+    parts, at = [], 0
+    for first, last, sizes in regions:
+        parts.append(tree[width + at : width + first])
+        if len(sizes):
+            parts.append(np.add.reduceat(sizes, np.arange(0, len(sizes), LEAF)))
+        at = last + 1
+    leaves = np.concatenate([*parts, tree[width + at :]])
+    return _tree_of(leaves[leaves[:, PRE] > 0])
 
 
 def _leaf_at(tree: np.ndarray, place: int) -> tuple[int, int]:
@@ -139,15 +185,15 @@ def _replace(tree: np.ndarray, first: int, leaves: np.ndarray) -> None:
         tree[low : high + 1] = tree[2 * low : 2 * high + 1 : 2] + tree[2 * low + 1 : 2 * high + 2 : 2]
 
 
-_counters: dict[int, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
 def _counter(ranks: dict[bytes, int]) -> Counter:
     """One counter per worker and vocabulary, so that its memory outlives a task."""
-    key = hash((len(ranks), tuple(list(ranks.items())[-20:])))
-    if key not in _counters:
-        _counters[key] = Counter(ranks)
-    return _counters[key]
+    name = hashlib.sha256(pickle.dumps(ranks)).hexdigest()
+    if name not in _counters:
+        _counters[name] = Counter(ranks)
+    return _counters[name]
 
 
 TREE = "struct<chars: array<int>, tokens: array<int>, pre: array<int>>"
@@ -173,13 +219,20 @@ def count_tokens(docs: DataFrame, ranks: dict[bytes, int], text_col: str = "text
 
     A null or empty text has no tokens. Columns of these names are replaced."""
     keep = [c for c in docs.columns if c not in (text_col, "tree", "n_tokens")]
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *keep).alias("carried"), F.col(text_col).alias("text"))
+    rows = docs.select(_carried(keep).alias("carried"), quoted(text_col).alias("text"))
     kind = rows.schema["carried"].dataType.simpleString()
     out = arrow_map(rows, partial(_tree_batches, ranks=ranks), f"carried {kind}, text string, tree {TREE}")
     root = F.get("tree.tokens", F.lit(1)).cast("long")
-    return out.select(
-        *[f"carried.`{c}`" for c in keep], F.col("text").alias(text_col), "tree", root.alias("n_tokens")
-    )
+    return out.select(*_put_back(keep), F.col("text").alias(text_col), "tree", root.alias("n_tokens"))
+
+
+def _carried(keep: list[str]):
+    """Columns that only travel along, by place: no name can clash with one of ours."""
+    return F.struct(F.lit(0).alias("none"), *[quoted(c).alias(f"c{i}") for i, c in enumerate(keep)])
+
+
+def _put_back(keep: list[str]) -> list:
+    return [F.col(f"carried.c{i}").alias(c) for i, c in enumerate(keep)]
 
 
 def pattern_edits(text_col: str, rules: tuple[tuple[str, str], ...]):
@@ -200,7 +253,7 @@ def pattern_edits(text_col: str, rules: tuple[tuple[str, str], ...]):
     def edits(texts: pd.Series) -> pd.Series:
         return texts.map(edits_of)
 
-    return edits(F.col(text_col))
+    return edits(quoted(text_col))
 
 
 def _edit_batches(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
@@ -212,11 +265,8 @@ def _edit_batches(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) ->
             text = text.as_py() or ""
             tree = np.stack([held.field(j)[i].values.to_numpy(zero_copy_only=False) for j in range(3)], axis=1)
             tree = tree.astype(np.int32)
-            count = 0
-            # From the end on, so that places before an edit stay what they are.
-            for e in sorted(edits.as_py() or [], key=lambda e: -e["start"]):
-                text, pre = counter.edit(text, tree, e["start"], e["end"], e["text"] or "")
-                count += pre
+            made = sorted((e["start"], e["end"], e["text"] or "") for e in edits.as_py() or [])
+            text, tree, count = counter.edit(text, tree, made)
             texts.append(text)
             trees.append(tree)
             encoded.append(count)
@@ -236,14 +286,10 @@ def apply_edits(
     ``edits_col`` is an array of ``(start, end, text)``, in code points of the text as it
     was and not overlapping; a null or empty array changes nothing."""
     keep = [c for c in counted.columns if c not in (text_col, "tree", "n_tokens", "n_encoded")]
-    rows = counted.select(
-        F.struct(F.lit(0).alias("_"), *keep).alias("carried"), F.col(text_col).alias("text"), "tree", F.col(edits_col)
-    )
+    rows = counted.select(_carried(keep).alias("carried"), quoted(text_col).alias("text"), "tree", quoted(edits_col))
     kind = rows.schema["carried"].dataType.simpleString()
     out = arrow_map(
         rows, partial(_edit_batches, ranks=ranks), f"carried {kind}, text string, tree {TREE}, n_encoded long"
     )
     root = F.get("tree.tokens", F.lit(1)).cast("long")
-    return out.select(
-        *[f"carried.`{c}`" for c in keep], F.col("text").alias(text_col), "tree", root.alias("n_tokens"), "n_encoded"
-    )
+    return out.select(*_put_back(keep), F.col("text").alias(text_col), "tree", root.alias("n_tokens"), "n_encoded")

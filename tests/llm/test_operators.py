@@ -403,9 +403,16 @@ def test_token_counts(spark, odd, empty):
         text = "".join(rng.choices("ab the's  \n\té日12 ,.", k=rng.randint(0, 900)))
         tree = counter.tree(text)
         for _ in range(4):
-            start = rng.randint(0, len(text))
-            end = min(len(text), start + rng.choice([0, 1, 30, 300]))
-            text, _ = counter.edit(text, tree, start, end, "".join(rng.choices("a's \n1", k=rng.choice([0, 1, 40]))))
+            places = sorted(rng.randint(0, len(text)) for _ in range(2 * rng.choice([1, 1, 2, 6])))
+            edits = [
+                (start, rng.choice([start, min(end, start + 1), end]), "".join(rng.choices("a's \n1", k=rng.choice([0, 1, 40, 3000]))))
+                for start, end in zip(places[::2], places[1::2])
+            ]
+            expected = text
+            for start, end, put in reversed(edits):
+                expected = expected[:start] + put + expected[end:]
+            text, tree, _ = counter.edit(text, tree, edits)
+            assert text == expected
             assert tuple(tree[1]) == (len(text), full(text), len(counter.split(text)))
     counted = token_counts.count_tokens(odd.withColumn("tree", F.lit(1)), ranks)
     assert all(r.n_tokens == full(r.text) for r in counted.collect())
@@ -415,6 +422,34 @@ def test_token_counts(spark, odd, empty):
     assert token_counts.count_tokens(empty, ranks).count() == 0
 
 
+def test_many_edits_cost_what_they_touch():
+    counter = token_counts.Counter(token_counts.load_ranks(RANKS))
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 7))) for _ in range(4000))
+    tree, total, size = counter.tree(text), 0, len(counter.split(text))
+    for _ in range(2000):
+        at = rng.randint(0, len(text) - 5)
+        text, tree, n = counter.edit(text, tree, [(at, at + rng.randint(0, 3), rng.choice(["x", " yz", ""]))])
+        total += n
+    assert tuple(tree[1]) == (len(text), len(counter.encoding.encode_ordinary(text)), len(counter.split(text)))
+    # A few leaves each, however many edits came before.
+    assert total < 2000 * 5 * token_counts.LEAF
+    edits = [(i, i + 1, "-") for i in range(0, len(text), 9)]
+    assert counter.edit(text, tree, edits)[2] < 3 * size
+
+
+def test_token_counts_with_clashing_columns(spark):
+    ranks = token_counts.load_ranks(RANKS)
+    rows = make(spark, [(1, "a b")], "doc_id long, text string")
+    for name in ("_", "none", "carried", "a.b", "c0"):
+        rows = rows.withColumn(name, F.lit("x"))
+    counted = token_counts.count_tokens(rows, ranks)
+    assert counted.columns == ["doc_id", "_", "none", "carried", "a.b", "c0", "text", "tree", "n_tokens"]
+    edits = F.expr("array(named_struct('start', 1, 'end', 2, 'text', ' and '))")
+    (row,) = token_counts.apply_edits(counted.withColumn("edits", edits), ranks).collect()
+    assert (row.text, row["a.b"], row.n_tokens) == ("a and b", "x", 3)
+
+
 def brute_kneser_ney(texts):
     """The model by its definition, as a function of context and character."""
     order, start, stop = language_model.ORDER, language_model.START, language_model.STOP
