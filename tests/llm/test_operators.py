@@ -25,6 +25,7 @@ from regbook.llm import (
     suffix_dedup,
     token_counts,
 )
+from regbook.llm.common import table
 from regbook.llm.queries import PIECES, RANKS
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -527,3 +528,73 @@ def test_classifier(spark, odd, empty):
 def test_html_exclusion_ends(page):
     texts = {text: content for _, text, content in html_extraction.tokens(page)}
     assert texts["Kept words"] and texts.get("Kept", True) and not texts.get("A")
+
+
+MENU = "<nav><ul>" + "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("home", "news", "shop", "team", "jobs")) + "</ul></nav>"
+CONTENTS = [
+    ("<h1>One &amp; all</h1><p>First\n text <b>bold</b>.</p>", "One & all First text bold."),
+    ("<p>List:</p><ul><li>one<li>two <a href=x>link</a></ul><ol><li>three</ol>", "List: one two link three"),
+    ("<h2 id='related-work'>Related work</h2><p class='notice'>Note.</p><table><tr><td>x<td>y</table>", "Related work Note. x y"),
+    ("<p>Code <pre>a  b\nc</pre><blockquote>Said so</blockquote><p>é&nbsp;&#65;", "Code a b c Said so é A"),
+    ("<p>Start</p><form>mail <input></form><div class='social-share'>Tweet</div><p>End <svg/> of it</p>", "Start End of it"),
+]
+LAYOUTS = [
+    "<html><head><title>No</title></head><body>{menu}<article>{c}</article><footer>Foot</footer></body></html>",
+    "<body><header><h1>Site</h1></header>{menu}<main><article class='post'>{c}</article></main></body>",
+    "<body>{menu}<div class='layout has-sidebar'><article>{c}</article><div class='sidebar'>Side</div></div></body>",
+    "<body>{menu}<div id='content'>{c}</div><div class='comment-list'><p>I say</p></div></body>",
+    "<div class='wrapper'><div class='post'>{c}</div><ol class='commentlist'><li>Nice</li></ol></div>",
+    "<div id='comments-page'>{c}</div><section id='comments'><p>Reader</p></section>",
+    "<article>{c}<section class='comments'><article class='comment'>Reader</article></section></article>{menu}",
+    "<body><div class='cookie-banner'>We use</div><main>{c}</main><aside>Aside</aside></body>",
+    "<table><tr><td class='sidebar'>Side</td><td>{c}</td></tr></table>",
+    "<body class='no-comments'><script>var x='<p>';</script><section>{c}</section><!-- <p>gone</p> --><footer>F</footer>",
+]
+
+
+@pytest.fixture(scope="module")
+def html_weights(spark):
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    return html_extraction.learn_weights(pages)
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("content, expected", CONTENTS)
+def test_html_layouts(html_weights, layout, content, expected):
+    page = layout.format(menu=MENU, c=content)
+    assert html_extraction.extract(page, html_weights) == expected
+    assert html_extraction.extract(page, {}) == expected
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<article><p>One</p></article><article><h2>Two</h2><p>more</p></article>", "One Two more"),
+        ("<article>Text here</article><div class='commentlist'>" + "<p>a comment</p>" * 30 + "</div>", "Text here"),
+        ("<title-block>Kept</title-block><style-guide>also</style-guide> <object-list>too</object-list>", "Keptalso too"),
+        ("<p>so <math><mi>x</mi></math> is</p><svg/><p>here</p>", "so x is here"),
+        ("", ""),
+    ],
+)
+def test_html_cases(html_weights, page, expected):
+    assert html_extraction.extract(page, html_weights) == expected
+
+
+@pytest.mark.parametrize("part", ['<a "', "<div>", "<i>", "<nav>", "<script ", "<div class=ad>", "<b><p><i>", "</b>", "<li>"])
+def test_html_time_is_linear(part):
+    def seconds(n):
+        start = time.perf_counter()
+        html_extraction.extract(part * n + "</b>" * n + "x", {})
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(20_000) < 6
+
+
+def test_html_empty_and_repeated(spark):
+    schema = "page_id long, url string, html string"
+    page = "<article><p>Text</p></article>"
+    rows = make(spark, [(1, "u", page), (1, "u", page), (None, None, None)], schema).withColumn("text", F.lit(1)).withColumn("a.b", F.lit(1))
+    got = sorted((r.page_id or 0, r.text) for r in html_extraction.main_text(rows).collect())
+    assert got == [(0, ""), (1, "Text"), (1, "Text")]
+    assert html_extraction.main_text(rows.limit(0)).count() == 0
