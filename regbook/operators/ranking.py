@@ -68,11 +68,13 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int, tie_break: Sequence
     return df.orderBy(*order, *[F.asc(c) for c in tie_break]).limit(n)
 
 
-def leaders_per_group(df: DataFrame, group: str, item: str) -> DataFrame:
-    """The most frequent ``item`` of each group; items tied for first place all stay."""
-    ranking = Window.partitionBy(group).orderBy(F.desc("count"))
-    ranked = count_by(df, [group, item]).withColumn("rank", F.rank().over(ranking))
-    return ranked.filter(F.col("rank") == 1)
+def leaders_per_group(df: DataFrame, group: str, item: str, limit: int | None = None) -> DataFrame:
+    """The most frequent ``item`` of each group; items tied for first place all stay. What is
+    first is what has the group's highest count, so no window orders a group's items."""
+    counts = materialise(count_by(df, [group, item]), "counts")
+    highest = group_table(counts, [group], {"__highest": F.max("count")}).attach(counts, limit)
+    leaders = highest.filter(F.col("count") == F.col("__highest")).drop("__highest")
+    return leaders.withColumn("rank", F.lit(1))
 
 
 def first_per_group(
@@ -130,9 +132,10 @@ def share_within(
 ) -> DataFrame:
     """Count of each item, the total of its group and the percentage. Totals are joined
     to the counts, so a group may have any number of items."""
-    totals = group_table(df, [group], {"total": F.count(F.lit(1))})
+    counts = materialise(count_by(df, [group, item]), "counts")
+    totals = group_table(counts, [group], {"total": F.sum("count")})
     share = F.round(F.col("count") / F.col("total") * 100, digits)
-    return totals.attach(count_by(df, [group, item]), limit).withColumn("percentage", share)
+    return totals.attach(counts, limit).withColumn("percentage", share)
 
 
 def running_count(df: DataFrame, group: str, order: str, window_rows: int = WINDOW_ROWS) -> DataFrame:

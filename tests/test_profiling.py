@@ -139,3 +139,54 @@ def test_correlation_is_pairwise_complete(measures):
     assert found["y", "x"] == found["x", "y"]
     assert found["x", "x"] == 1.0
     assert found["flat", "flat"] is None and found["x", "flat"] is None
+
+
+def test_correlation_plan_and_size(spark, tmp_path):
+    """Twenty columns: a state per task, no row per pair."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(1e6, 1, (3000, 20))
+    x[:, 3] = 7.1
+    x[rng.random((3000, 20)) < 0.1] = np.nan
+    names = [f"c.{i}" for i in range(20)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    plan = distribution.correlation(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan.split("MapInArrow")[1]
+    found = {(r.x, r.y): r["corr"] for r in distribution.correlation(df).collect()}
+    assert len(found) == 400
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if 3 in (i, j):
+                assert found[a, b] is None
+            else:
+                assert found[a, b] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+
+
+def test_co_moments_merge_in_any_order():
+    rng = np.random.default_rng(7)
+    x = rng.normal(5, 2, (400, 3))
+    x[rng.random((400, 3)) < 0.3] = np.nan
+    x[:100, 2] = np.nan
+    whole = distribution.CoMoments.of(x)
+    for cuts in ([100, 250], [1, 2, 399], [400]):
+        merged = distribution.CoMoments(3)
+        for part in np.split(x, cuts):
+            if len(part):
+                merged.add(distribution.CoMoments.of(part))
+        for name in ("n", "mean", "square", "product"):
+            assert np.allclose(getattr(merged, name), getattr(whole, name))
+
+
+def test_density_meets_near_points_only(spark):
+    """Two far heaps: points between them have density zero and are all there."""
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id") / 1e4).otherwise(1e6 + F.col("id") / 1e4).alias("v"))
+    curve = distribution.density(df, bandwidth=1.0).orderBy("point").collect()
+    assert len(curve) == 200 and curve[100].density == 0.0 and curve[0].density > 0 and curve[199].density > 0
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1.0, 2), (2.0, 4), (3.0, 7)], "`a.b` double, `c``d` int")
+    assert {r.column for r in distribution.histogram(df, bins=3).collect()} == {"a.b", "c`d"}
+    assert distribution.density(df).count() == 400
+    assert distribution.correlation(df).count() == 4
+    assert {r.column for r in profiling.profile_numeric(df).collect()} == {"a.b", "c`d"}
