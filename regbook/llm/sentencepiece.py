@@ -18,6 +18,7 @@ Every task works alone on its batches: no shuffle, and memory bounded by the bat
 from __future__ import annotations
 
 import hashlib
+import math
 import pickle
 import re
 from array import array
@@ -92,20 +93,31 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.fits: dict[int, bool] = {}
-        self.whole: dict[str, bool] = {}
-        # The longest piece that ends in given characters bounds the search.
-        self.longest: dict[str, int] = {}
+        # By piece: 0 not known yet, 1 what BPE makes of it, 2 not.
+        self.state = bytearray(len(vocabulary.pieces))
+        # What the joined strings within stable pieces are made of.
+        self.made: dict[str, tuple[str, str]] = {}
+        # The lengths of the pieces that end in given characters, longest first, bound the
+        # search: by three characters, and by what is left of shorter ones.
+        ends: dict[str, set[int]] = {}
         for piece in vocabulary.ids:
-            end = piece[-2:]
-            self.longest[end] = max(self.longest.get(end, 0), len(piece))
+            ends.setdefault(piece[-3:], set()).add(len(piece))
+            for size in (1, 2):
+                if len(piece) > size:
+                    ends.setdefault(piece[-size:], set())
+        self.lengths = {
+            end: tuple(sorted((n for k in range(1, len(end) + 1) for n in ends.get(end[-k:], ()) if n <= k or k == 3), reverse=True))
+            for end in ends
+        }
         # Words with their pieces, in two generations.
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         self.lowest = min((vocabulary.scores[i] for i in vocabulary.ids.values()), default=0.0)
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, made: dict[str, tuple[str, str]] | None = None) -> list[str]:
         """BPE by its definition: join the best pair, the leftmost of equals, until none is
-        left. The pairs wait in a heap, so a long text takes little more than its length."""
+        left. The pairs wait in a heap, so a long text takes little more than its length.
+        ``made`` is told what each joined pair was made of."""
         ids, scores = self.v.ids, self.v.scores
         parts, after = list(text), list(range(1, len(text) + 1))
         before = list(range(-1, len(text) - 1))
@@ -127,6 +139,8 @@ class Encoder:
             # Pairs of which one side has been joined since are stale.
             if not parts[left] or right >= len(parts) or parts[left] + parts[right] != joined:
                 continue
+            if made is not None:
+                made[joined] = (parts[left], parts[right])
             parts[left], parts[right] = joined, ""
             after[left] = after[right]
             if after[left] < len(parts):
@@ -136,37 +150,74 @@ class Encoder:
                 offer(before[left])
         return [p for p in parts if p]
 
-    def _stable(self, piece: str) -> bool:
-        found = self.whole.get(piece)
-        if found is None:
-            found = self.whole[piece] = self.merge(piece) == [piece]
+    def _stable(self, piece: str, number: int) -> bool:
+        """Whether a piece is what BPE makes of itself."""
+        made: dict[str, tuple[str, str]] = {}
+        found = self.merge(piece, made) == [piece]
+        if found:
+            self.made.update(made)
+        self.state[number] = 1 if found else 2
         return found
 
     def _pair(self, left: int, right: int) -> bool:
-        """Whether BPE leaves the two pieces as they are, side by side. Nothing merges
-        with a character that has no piece (-1)."""
-        if left < 0:
-            return True
-        key = left * len(self.v.pieces) + right
-        found = self.fits.get(key)
-        if found is None:
-            if len(self.fits) > MEMORY:
-                self.fits.clear()
-            parts = [self.v.pieces[left], self.v.pieces[right]]
-            found = self.fits[key] = self.merge("".join(parts)) == parts
+        """Whether BPE leaves the two pieces as they are, side by side. Nothing merges with a
+        character that has no piece (-1), so that is not asked."""
+        if len(self.fits) > MEMORY:
+            self.fits.clear()
+        found = self.separate(self.v.pieces[left], self.v.pieces[right])
+        self.fits[left * len(self.v.pieces) + right] = found
         return found
 
+    def separate(self, left: str, right: str) -> bool:
+        """Whether no pair across the border of two pieces is ever the best one. Both pieces
+        are unmade from the end, the one made later first (of equals the right one, since
+        the left one is joined first); what stands at the border in between must not join
+        before what was unmade."""
+        ids, scores, made = self.v.ids, self.v.scores, self.made
+        # A pair across joins first if it is better than this, or as good and to its left.
+        bound, also_equal = -math.inf, True
+        while True:
+            across = ids.get(left + right)
+            if across is not None and (scores[across] > bound or also_equal and scores[across] == bound):
+                return False
+            parts_left, parts_right = made.get(left), made.get(right)
+            if parts_left is None and parts_right is None:
+                return True
+            if parts_right is None or parts_left is not None and scores[ids[left]] < scores[ids[right]]:
+                bound, also_equal, left = scores[ids[left]], False, parts_left[1]
+            else:
+                bound, also_equal, right = scores[ids[right]], True, parts_right[0]
+
     def _next_bpe(self, word: str, end: int, states: list) -> tuple[int, int]:
         """The last piece of the encoding of ``word[:end]`` and where it starts."""
-        ids = self.v.ids
-        most = self.longest.get(word[end - 2 : end], 1) if end > 1 else 1
-        for start in range(max(0, end - most), end):
-            piece = word[start:end]
-            number = ids.get(piece)
-            if number is not None and self._stable(piece) and (start == 0 or self._pair(states[start][0], number)):
+        ids, state, fits, count = self.v.ids, self.state, self.fits, len(self.v.pieces)
+        for size in self._sizes(word, end):
+            start = end - size
+            number = ids.get(word[start:end])
+            if number is None:
+                continue
+            known = state[number]
+            if known != 1 and (known == 2 or not self._stable(word[start:end], number)):
+                continue
+            if start == 0:
+                return number, 0
+            left = states[start][0]
+            if left < 0:
+                return number, start
+            found = fits.get(left * count + number)
+            if found or found is None and self._pair(left, number):
                 return number, start
         return -1, end - 1
 
+    def _sizes(self, word: str, end: int) -> tuple[int, ...] | list[int]:
+        """Lengths that a piece ending here may have, longest first."""
+        for size in (3, 2, 1):
+            if size <= end:
+                found = self.lengths.get(word[end - size : end])
+                if found is not None:
+                    return found if not found or found[0] <= end else [n for n in found if n <= end]
+        return ()
+
     def _next_unigram(self, word: str, end: int, states: list) -> tuple[int, int, float]:
         """The best last piece of ``word[:end]``, where it starts, the total score."""
         ids, scores = self.v.ids, self.v.scores
@@ -174,9 +225,9 @@ class Encoder:
         single = word[end - 1]
         number = ids.get(single, -1)
         best = (number, end - 1, before + (scores[number] if number >= 0 else self.lowest - 10.0))
-        most = max(self.longest.get(word[end - 2 : end], 1), 1) if end > 1 else 1
-        for start in range(max(0, end - most), end - 1):
-            number = ids.get(word[start:end])
+        for size in self._sizes(word, end):
+            start = end - size
+            number = ids.get(word[start:end]) if size > 1 else None
             if number is not None:
                 total = (states[start][2] if start else 0.0) + scores[number]
                 if total > best[2]:

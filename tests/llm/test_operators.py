@@ -270,6 +270,25 @@ def test_long_blank_runs(spark):
         assert encoder.merge(text) == slow_merge(vocabulary, text)
 
 
+def test_pieces_side_by_side():
+    """Whether two pieces stay apart, told from how each is made, and by merging both."""
+    encoder = sentencepiece.Encoder(sentencepiece.Vocabulary.load(PIECES))
+    rng = random.Random(17)
+    usable = [p for p, i in sorted(encoder.v.ids.items()) if encoder._stable(p, i)]
+    short = [p for p in usable if len(p) < 4]
+    blanks = [p for p in usable if not p.strip("▁")]
+    apart = 0
+    for i in range(60_000):
+        pool = (usable, short, blanks)[i % 3]
+        left, right = rng.choice(pool), rng.choice(short if i % 2 else pool)
+        if set(left) == {"▁"} and right.startswith("▁"):
+            continue  # runs of blanks are merged as a whole
+        expected = encoder.merge(left + right) == [left, right]
+        assert encoder.separate(left, right) == expected, (left, right)
+        apart += expected
+    assert apart > 1000
+
+
 def slow_merge(vocabulary, text):
     parts = list(text)
     while True:
