@@ -38,11 +38,11 @@ BLANK = "▁"
 # A blank run with what follows it, a line end, or a word at the start of a line.
 CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
-MEMORY = 300_000
+MEMORY = 150_000
 # Words whose pieces a worker remembers, in each of two generations.
-WORDS = 100_000
+WORDS = 40_000
 # Texts whose words share a trie; a batch of long ones is bounded in bytes before.
-ROWS = 1_000
+ROWS = 500
 
 
 @dataclass
