@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,19 +365,23 @@ def _checked_categories(df: DataFrame) -> DataFrame:
     many values it gives, how many of them are in the column, and whether its distinct
     count is within four standard deviations of the sketch."""
     columns = text_columns(df)
-    profile = profiling.profile_categories(df, columns)
-    given = profile.select("column", "value").distinct()
-    values = df.select(*columns).unpivot([], columns, "column", "value")
-    present = values.join(
-        F.broadcast(given.withColumnsRenamed({"column": "c", "value": "v"})),  # at most 20 values a column
-        (F.col("column") == F.col("c")) & F.col("value").eqNullSafe(F.col("v")),
-        "left_semi",
-    ).distinct()
-    exact = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+    profile = materialise(profiling.profile_categories(df, columns), "categories-profile")
     shown = profile.groupBy("column", "listed", "n_distinct").agg(F.count(F.lit(1)).alias("n_values"))
-    found = present.groupBy("column").agg(F.count(F.lit(1)).alias("n_present"))
+    given = profile.select("column", "value").distinct().withColumnsRenamed({"column": "c", "value": "v"})
+    # Column by column, so that a task holds the distinct values of one at a time.
+    distinct = [
+        df.select(F.col(c).alias("value")).distinct().select(F.lit(c).alias("column"), "value") for c in columns
+    ]
+    values = reduce(DataFrame.unionByName, distinct)
+    same = (F.col("column") == F.col("c")) & F.col("value").eqNullSafe(F.col("v"))
+    found = (
+        values.join(F.broadcast(given), same, "left")  # at most 20 values a column
+        .groupBy("column")
+        .agg(F.count("value").alias("exact"), F.count("c").alias("n_present"))
+        .filter("n_present > 0")
+    )
     within = F.col("listed") | (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.2 * F.col("exact"))
-    return shown.join(exact, "column").join(found, "column").select(
+    return shown.join(found, "column").select(
         "column", "listed", "exact", "n_values", "n_present", within.alias("within")
     )
 
@@ -390,7 +395,10 @@ def profile_categories_documents(spark, folder):
 
 
 def profile_categories_registry(spark, folder):
-    return _checked_categories(raw_rows(spark, folder))
+    """The text columns of the view, stored first: the profile and its check read them
+    many times, and the joins are done once."""
+    rows = raw_rows(spark, folder)
+    return _checked_categories(materialise(rows.select(*text_columns(rows)), "raw"))
 
 
 def profile_numeric(spark, folder):
