@@ -274,40 +274,42 @@ def fold_rare(spark, folder):
     return labels.fold_rare(orders, "customer")
 
 
-def _delivered_twice(spark, folder):
-    """The raw view with the orders of one priority delivered a second time."""
-    rows = raw_rows(spark, folder)
-    return rows.unionByName(rows.filter(F.col("FUEL") == TERMS.diesel))
+def _delivered_twice(rows: DataFrame) -> DataFrame:
+    """The raw view with the orders of one priority delivered a second time. Rows are
+    repeated as they come, so that the joins behind them are done once."""
+    twice = F.when(F.col("FUEL") == TERMS.diesel, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.withColumn("__delivery", F.explode(twice)).drop("__delivery")
 
 
 def clean_registry(spark, folder):
-    rows = _delivered_twice(spark, folder)
+    rows = _delivered_twice(raw_rows(spark, folder))
     return apply_cleaning(fit_cleaning(rows, VIEW_CLEANING, stage=True))
 
 
 def clean_registry_by_identity(spark, folder):
     """Copies are recognised by all columns, before the identifying ones are dropped."""
     config = replace(VIEW_CLEANING, dedup_on="identity")
-    rows = _delivered_twice(spark, folder)
+    rows = _delivered_twice(raw_rows(spark, folder))
     return apply_cleaning(fit_cleaning(rows, config, stage=True))
 
 
 def audit_registry(spark, folder):
-    rows = _delivered_twice(spark, folder)
+    rows = _delivered_twice(raw_rows(spark, folder))
     return audit_cleaning(fit_cleaning(rows, VIEW_CLEANING, stage=True))
 
 
 # --- a whole run ---------------------------------------------------------------------
 
 
-def _fitted(spark, folder):
-    rows = _delivered_twice(spark, folder)
+def _fitted(rows):
+    rows = _delivered_twice(rows)
     return rows, fit_cleaning(rows, VIEW_CLEANING, stage=True)
 
 
 def run_raw_categories(spark, folder):
-    """The source's text columns: listed values, and how many are shown of the others."""
-    profile = profile_run(*_fitted(spark, folder))["raw_categories"]()
+    """The source's text columns: listed values, and how many are shown of the others. The
+    view is stored, since the source is read once for its profile and once for the fit."""
+    profile = profile_run(*_fitted(materialise(raw_rows(spark, folder), "raw")))["raw_categories"]()
     shown = profile.filter("listed")
     others = profile.filter("not listed").groupBy("column", "listed").agg(F.count("value").alias("count"))
     none = F.lit(None)
@@ -317,26 +319,26 @@ def run_raw_categories(spark, folder):
 
 
 def run_standardised_summary(spark, folder):
-    rows, fitted = _fitted(spark, folder)
+    rows, fitted = _fitted(raw_rows(spark, folder))
     summary = profile_run(rows, fitted)["standardised_summary"]()
     return _checked_quartiles(fitted.standardised, summary)
 
 
 def run_kept_correlation(spark, folder):
-    return _rounded(profile_run(*_fitted(spark, folder))["kept_correlation"](), "corr", 8)
+    return _rounded(profile_run(*_fitted(raw_rows(spark, folder)))["kept_correlation"](), "corr", 8)
 
 
 def run_kept_histogram(spark, folder):
-    return profile_run(*_fitted(spark, folder))["kept_histogram"]()
+    return profile_run(*_fitted(raw_rows(spark, folder)))["kept_histogram"]()
 
 
 def run_kept_missing(spark, folder):
-    return profile_run(*_fitted(spark, folder))["kept_missing"]()
+    return profile_run(*_fitted(raw_rows(spark, folder)))["kept_missing"]()
 
 
 def run_audit(spark, folder):
     """The audit observed while the clean table is written, next to the rows written."""
-    _, fitted = _fitted(spark, folder)
+    _, fitted = _fitted(raw_rows(spark, folder))
     clean, audit = write_audited(fitted, lambda df: materialise(df, "clean"))
     return audit.withColumn("rows_written", F.lit(clean.count()).cast("bigint"))
 

@@ -3,8 +3,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
+
 from regbook.workload import queries
-from regbook.workload.view import raw_rows
+from regbook.workload.view import TERMS, raw_rows
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,6 +24,19 @@ def test_joins_carry_numbers_and_not_the_text_made_of_them(spark):
         assert f"AS {column}#" in plan and f"{column}#" not in joins
 
 
+def test_a_second_delivery_costs_no_second_join(spark):
+    plan = optimized(queries._delivered_twice(raw_rows(spark, FOLDER)))
+    assert plan.count("Join ") == 3
+
+
+def test_a_second_delivery_repeats_the_rows_of_one_priority(spark, rows):
+    given = [(1, TERMS.diesel), (2, None), (3, "other"), (1, TERMS.diesel)]
+    df = spark.createDataFrame(given, "id int, FUEL string")
+    found = queries._delivered_twice(df)
+    assert found.columns == df.columns
+    assert rows(found) == rows(df.unionByName(df.filter(F.col("FUEL") == TERMS.diesel)))
+
+
 def test_category_profile_of_the_view_joins_once_and_counts_column_by_column(spark, monkeypatch):
     read = []
     inner = queries._checked_categories
@@ -38,3 +53,12 @@ def test_checked_categories_count_missing_values_and_wide_columns(spark, rows):
     assert found["few"] == (True, 3, 4, 4, True)
     assert found["none"] == (True, 0, 1, 1, True)
     assert found["many"] == (False, 400, 5, 5, True)
+
+
+def test_raw_categories_read_a_stored_source(spark, monkeypatch):
+    sources = []
+    inner = queries.profile_run
+    monkeypatch.setattr(queries, "profile_run", lambda rows, fitted: sources.append((rows, fitted)) or inner(rows, fitted))
+    queries.run_raw_categories(spark, FOLDER)
+    ((source, fitted),) = sources
+    assert "Join " not in optimized(source) and "Join " not in optimized(fitted.source)
