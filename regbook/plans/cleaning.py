@@ -74,7 +74,10 @@ class FittedCleaning:
 
 def _standardise(df: DataFrame, config: CleaningConfig) -> DataFrame:
     """Everything that depends on a single row and removes none."""
-    df = df.transform(standardise_text, None, config.sentinels)
+    return _with_features(df.transform(standardise_text, None, config.sentinels), config)
+
+
+def _with_features(df: DataFrame, config: CleaningConfig) -> DataFrame:
     df = df.transform(add_age, config.year_column, config.as_of)
     return df.transform(add_date_parts, config.date_column)
 
@@ -99,7 +102,11 @@ def fit_cleaning(
     """Learn outlier limits and label counts. ``stage`` writes the standardised rows to
     the shared folder first; use it when the source is text or an expensive query."""
     source = _standardise(df, config)
-    standardised = dedup(source) if config.dedup_on == "identity" else source
+    standardised = source
+    if config.dedup_on == "identity":
+        # Features follow from the other columns, so they need not be compared or shuffled.
+        added = [c for c in source.columns if c not in df.columns]
+        standardised = _with_features(dedup(source.drop(*added)), config)
     standardised = drop_uninformative(standardised, config.uninformative)
     if stage:
         standardised = materialise(standardised, "standardised")

@@ -1,10 +1,13 @@
 """What the queries over the view read, join and store."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from regbook.plans.cleaning import CleaningConfig, fit_cleaning
+from regbook.schema import UNINFORMATIVE
 from regbook.workload import queries
 from regbook.workload.view import TERMS, raw_rows
 
@@ -62,3 +65,22 @@ def test_raw_categories_read_a_stored_source(spark, monkeypatch):
     queries.run_raw_categories(spark, FOLDER)
     ((source, fitted),) = sources
     assert "Join " not in optimized(source) and "Join " not in optimized(fitted.source)
+
+
+def test_identity_compares_no_features(spark, rows):
+    days = [("a", "x", 2000, "2001-02-03"), ("a ", "x", 2000, "2001-02-03"), ("b", None, None, None), ("b", None, None, None)]
+    df = spark.createDataFrame(days, "BRAND string, VIN string, MAKE_YEAR int, D_REG string").withColumn(
+        "D_REG", F.to_date("D_REG")
+    )
+    config = CleaningConfig(dedup_on="identity", as_of=2001, iqr_columns=(), label_column="ABSENT")
+    fitted = fit_cleaning(df, config)
+    keys = re.search(r"Aggregate \[([^\]]*)\]", optimized(fitted.standardised)).group(1)
+    assert not re.search("AGE|REG_YEAR|REG_MONTH", keys)
+    assert fitted.standardised.columns == [c for c in fitted.source.columns if c not in UNINFORMATIVE]
+    assert rows(fitted.standardised.drop("D_REG")) == [("A", 2000, 1, 2001, 2), ("B", None, None, None, None)]
+
+
+def test_identity_keeps_features_that_the_source_names_itself(spark, rows):
+    df = spark.createDataFrame([("a", 2000, 7), ("a", 2000, 8)], "BRAND string, MAKE_YEAR int, AGE int")
+    config = CleaningConfig(dedup_on="identity", as_of=2001, iqr_columns=(), label_column="ABSENT")
+    assert rows(fit_cleaning(df, config).standardised) == [("A", 2000, 1)]
