@@ -20,11 +20,15 @@ FILE_BYTES = 64 << 20
 _ORDER = "__order"
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
+def write_delimited(
+    df: DataFrame, path: str, sep: str = ",", single_file: bool = False, compression: str = "none"
+) -> None:
     """Overwrite ``path`` with delimited text and a header. ``single_file`` moves the
-    finished result rows into one task; the query before that stays parallel."""
+    finished result rows into one task; the query before that stays parallel. Readers know
+    a ``compression`` by the file names; one task reads a compressed file."""
     out = df.repartition(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    writer = out.write.mode("overwrite").option("header", True).option("sep", sep)
+    writer.option("compression", compression).csv(path)
 
 
 class Folder:

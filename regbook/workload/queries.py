@@ -62,7 +62,8 @@ def source_parquet(spark, folder):
 
 
 def source_registry_csv(spark, folder):
-    """The raw view rendered as registry text, written, and loaded again."""
+    """The raw view rendered as registry text, written, and loaded again. The text is
+    several times the tables, so it is compressed; every task writes a file of its own."""
 
     def comma(column: str):
         return F.replace(F.col(column).cast("string"), F.lit("."), F.lit(","))
@@ -73,7 +74,7 @@ def source_registry_csv(spark, folder):
         | {"D_REG": F.date_format("D_REG", "dd.MM.yy")}
     )
     path = scratch_path(spark, "registry-csv")
-    write_delimited(text, path, sep=";")
+    write_delimited(text, path, sep=";", compression="gzip")
     return load_registry(spark, path)
 
 

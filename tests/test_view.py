@@ -2,6 +2,7 @@
 
 import os
 import re
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,10 @@ def test_identity_keeps_features_that_the_source_names_itself(spark, rows):
     df = spark.createDataFrame([("a", 2000, 7), ("a", 2000, 8)], "BRAND string, MAKE_YEAR int, AGE int")
     config = CleaningConfig(dedup_on="identity", as_of=2001, iqr_columns=(), label_column="ABSENT")
     assert rows(fit_cleaning(df, config).standardised) == [("A", 2000, 1)]
+
+
+def test_registry_text_is_stored_compressed(spark):
+    loaded = queries.source_registry_csv(spark, FOLDER)
+    files = loaded.inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert glob(files[0].removeprefix("file://"))
