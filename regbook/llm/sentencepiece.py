@@ -10,7 +10,9 @@ no such scores: its result is defined by the order of merges. But a sequence of
 is what BPE makes of a string exactly when each piece is what BPE makes of itself and
 every two neighbours are what it makes of both together. So the forward state of a
 prefix is the last piece of its encoding, the only one that fits the state before it,
-and the same pass gives the same pieces as merging does.
+and the same pass gives the same pieces as merging does. ``piece_walk`` makes that pass
+for all words of a slice at once, in arrays; very long words, runs of blanks and unigram
+models are walked one by one here.
 
 Every task works alone on its batches: no shuffle, and memory bounded by the batch.
 """
@@ -21,28 +23,31 @@ import hashlib
 import math
 import pickle
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import cached_property, partial
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, quoted
+from .piece_walk import Walk
 
 BLANK = "▁"
-# A blank run with what follows it, a line end, or a word at the start of a line.
-CHUNKS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
 # Pairs of pieces a worker remembers before it starts afresh.
 MEMORY = 150_000
-# Words whose pieces a worker remembers, in each of two generations.
+# Words walked one by one whose pieces a worker remembers, in each of two generations.
 WORDS = 40_000
-# Texts whose words share a trie; a batch of long ones is bounded in bytes before.
-ROWS = 500
+# Words of more characters are not remembered, and walked one by one if there are only FEW
+# of them in a slice.
+LONG, FEW = 256, 32
+# Text whose words share a trie, and piece numbers decoded at once, in bytes; one row may
+# have more. Twice as much takes a fifth less time and 30 MB more per worker.
+SLICE_BYTES = 1 << 20
 
 
 @dataclass
@@ -97,22 +102,37 @@ class Encoder:
         self.state = bytearray(len(vocabulary.pieces))
         # What the joined strings within stable pieces are made of.
         self.made: dict[str, tuple[str, str]] = {}
-        # The lengths of the pieces that end in given characters, longest first, bound the
-        # search: by three characters, and by what is left of shorter ones.
+        # Words with their pieces, in two generations.
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.lowest = min((vocabulary.scores[i] for i in vocabulary.ids.values()), default=0.0)
+
+    @cached_property
+    def lengths(self) -> dict[str, tuple[int, ...]]:
+        """The lengths of the pieces that end in given characters, longest first, bound the
+        search: by three characters, and by what is left of shorter ones."""
         ends: dict[str, set[int]] = {}
-        for piece in vocabulary.ids:
+        for piece in self.v.ids:
             ends.setdefault(piece[-3:], set()).add(len(piece))
             for size in (1, 2):
                 if len(piece) > size:
                     ends.setdefault(piece[-size:], set())
-        self.lengths = {
+        return {
             end: tuple(sorted((n for k in range(1, len(end) + 1) for n in ends.get(end[-k:], ()) if n <= k or k == 3), reverse=True))
             for end in ends
         }
-        # Words with their pieces, in two generations.
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.lowest = min((vocabulary.scores[i] for i in vocabulary.ids.values()), default=0.0)
+
+    @cached_property
+    def walk(self) -> Walk:
+        """The pass over many words at once, for BPE models."""
+        made: dict[str, tuple[str, str]] = {}
+        stable = []
+        for piece in self.v.ids:
+            parts: dict[str, tuple[str, str]] = {}
+            if self.merge(piece, parts) == [piece]:
+                stable.append(piece)
+                made.update(parts)
+        return Walk(self.v.ids, self.v.scores, stable, made, self.v.byte_ids)
 
     def merge(self, text: str, made: dict[str, tuple[str, str]] | None = None) -> list[str]:
         """BPE by its definition: join the best pair, the leftmost of equals, until none is
@@ -246,8 +266,35 @@ class Encoder:
         new = [w for w in words if w not in known]
         known.update((w, older[w]) for w in new if w in older)
         walked = sorted(w for w in new if w not in older)
-        known.update(zip(walked, map(tuple, self.encode_sorted(walked))))
-        return [known[w] for w in words]
+        long = {}
+        for word, ids in zip(walked, self.encode_sorted(walked)):
+            (known if len(word) <= LONG else long)[word] = tuple(ids)
+        return [long[w] if w in long else known[w] for w in words]
+
+    def encode_distinct(self, words: pa.StringArray) -> pa.ListArray:
+        """Piece numbers of distinct words, in their order."""
+        order = pc.array_sort_indices(words)
+        words = words.take(order)
+        single = np.ones(len(words), bool)
+        if not self.v.unigram:
+            sizes = pc.utf8_length(words).to_numpy()
+            longest = max(LONG, np.partition(sizes, -FEW)[-FEW] if len(sizes) > FEW else LONG)
+            blanks = pc.starts_with(words, BLANK * 2).to_numpy(zero_copy_only=False)
+            single = blanks | (sizes > longest)
+        parts = []
+        if not single.all():
+            parts.append(self.walk.encode(words.filter(pa.array(~single))))
+        if single.any():
+            ids = self.encode(words.filter(pa.array(single)).to_pylist())
+            ends = np.cumsum([0, *map(len, ids)])
+            flat = np.fromiter((i for word in ids for i in word), np.int32, ends[-1])
+            parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+        if not parts:
+            return pa.array([], pa.list_(pa.int32()))
+        # Where the pieces of each word are, from the sorted order and the two parts.
+        place = np.empty(len(words), np.int64)
+        place[order.to_numpy()[np.argsort(single, kind="stable")]] = np.arange(len(words))
+        return pa.concat_arrays(parts).take(pa.array(place))
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Piece numbers of sorted distinct words, walked as a trie."""
@@ -290,35 +337,52 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
     return _encoders[name]
 
 
-def _marked(text: str) -> str:
-    return BLANK + text.replace(" ", BLANK) if text else ""
+def _marked(texts: pa.StringArray) -> pa.StringArray:
+    """The texts with marks for blanks and one more before them; nulls are empty."""
+    texts = pc.fill_null(texts, "")
+    before = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", BLANK)
+    return pc.binary_join_element_wise(before, pc.replace_substring(texts, " ", BLANK), "")
+
+
+def _chunks(marked: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of all texts, and where those of each text begin and the last one's end. A
+    word is a run of blanks with what follows it, a line end, or what follows a line end."""
+    bounds = np.frombuffer(marked.buffers()[1], np.int32)[marked.offset : marked.offset + len(marked) + 1]
+    data = np.frombuffer(marked.buffers()[2] or b"", np.uint8)[: bounds[-1]]
+    starts = np.zeros(len(data) + 1, bool)
+    starts[bounds] = True
+    line_ends = np.flatnonzero(data == 10)
+    starts[line_ends] = starts[line_ends + 1] = True
+    mark = BLANK.encode()
+    blanks = np.flatnonzero(data == mark[0])
+    for k in (1, 2):
+        blanks = blanks[data[blanks + k] == mark[k]]
+    starts[blanks[np.diff(blanks, prepend=-len(mark) - 1) != len(mark)]] = True
+    starts[: bounds[0]] = False
+    cuts = np.flatnonzero(starts).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), marked.buffers()[2])
+    return words, np.searchsorted(cuts, bounds)
+
+
+def _slices(batch: pa.RecordBatch, lengths: pa.Array, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch in which the lengths sum up to about ``size``. What a part has left
+    in Arrow's memory pool goes back before the next one."""
+    ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(ends // size)) + 1, [batch.num_rows]))
+    for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+            pa.default_memory_pool().release_unused()
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary)
-    for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-        numbers: dict[str, int] = {}
-        docs = []
-        for text in batch.column(1):
-            chunks = CHUNKS.findall(_marked(text.as_py() or ""))
-            docs.append(np.array([numbers.setdefault(c, len(numbers)) for c in chunks], dtype=np.int32))
-        # Flat arrays: a list per word would cost several times the text.
-        packed, sizes = array("i"), array("i")
-        for ids in encoder.encode(list(numbers)):
-            packed.extend(ids)
-            sizes.append(len(ids))
-        del numbers
-        flat, sizes = np.array(packed, dtype=np.int32), np.array(sizes, dtype=np.int64)
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        lists, ends = [], [0]
-        for doc in docs:
-            count = sizes[doc]
-            total = int(count.sum())
-            first = np.repeat(starts[doc] - np.concatenate(([0], np.cumsum(count)[:-1])), count) if total else 0
-            lists.append(flat[first + np.arange(total)] if total else flat[:0])
-            ends.append(ends[-1] + total)
-        values = np.concatenate(lists) if lists else flat[:0]
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+    for batch in (part for b in batches for part in _slices(b, pc.binary_length(b.column(1)), SLICE_BYTES)):
+        words, bounds = _chunks(_marked(batch.column(1).cast(pa.string())))
+        distinct = words.dictionary_encode()
+        lists = encoder.encode_distinct(distinct.dictionary).take(distinct.indices)
+        ends = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset :][bounds] if len(lists) else bounds
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lists.values)
         yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
 
@@ -337,17 +401,35 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep
     return encoded.select(*([f"carried.`{c}`" for c in keep]), F.col("text").alias(text_col), "ids")
 
 
+def _texts(ids: pa.ListArray, pieces: pa.BinaryArray) -> pa.StringArray:
+    """What lists of pieces stand for; broken UTF-8 is replaced."""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    joined = pieces.take(ids.flatten())
+    ends = np.frombuffer(joined.buffers()[1], np.int32) if len(joined) else np.zeros(1, np.int32)
+    bounds = ends[np.concatenate(([0], np.cumsum(sizes)))]
+    data = np.frombuffer(joined.buffers()[2] or b"", np.uint8)[: bounds[-1]]
+    # The blank before the text goes.
+    marked = bounds[:-1] < bounds[1:]
+    marked[marked] = data[bounds[:-1][marked]] == 32
+    data = np.delete(data, bounds[:-1][marked])
+    bounds = bounds - np.concatenate(([0], np.cumsum(marked)))
+    texts = pa.BinaryArray.from_buffers(
+        pa.binary(), len(ids), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
+    )
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([t.as_py().decode("utf-8", "replace") for t in texts], pa.string())
+
+
 def _decode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     pieces = [p.replace(BLANK, " ").encode() if u else b"" for p, u in zip(vocabulary.pieces, vocabulary.usable)]
     for byte, number in vocabulary.byte_ids.items():
         pieces[number] = bytes([byte])
-    piece = pieces.__getitem__
-    for batch in batches:
-        texts = []
-        for ids in batch.column(1):
-            joined = b"".join(map(piece, ids.values.to_numpy())) if ids.is_valid else b""
-            texts.append(joined.removeprefix(b" ").decode("utf-8", "replace"))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["carried", "decoded"])
+    table = pa.array(pieces, pa.binary())
+    for batch in (part for b in batches for part in _slices(b, pc.list_value_length(b.column(1)), SLICE_BYTES // 4)):
+        texts = _texts(batch.column(1), table)
+        yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=["carried", "ids", "decoded"])
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
@@ -355,7 +437,10 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") ->
     lists stand for the empty text. A text comes back as it was, but for U+2581, which
     the encoding takes for a blank."""
     keep = [c for c in encoded.columns if c != "decoded"]
-    rows = encoded.select(F.struct(*keep).alias("carried"), F.col(ids_col).alias("ids"))
-    kind = rows.schema["carried"].dataType.simpleString()
-    decoded = arrow_map(rows, partial(_decode_batches, vocabulary=vocabulary), f"carried {kind}, decoded string")
-    return decoded.select("carried.*", "decoded")
+    others = [quoted(c) for c in keep if c != ids_col]
+    carried = F.struct(*others) if others else F.lit(None).cast("string")
+    rows = encoded.select(carried.alias("carried"), quoted(ids_col).alias("ids"))
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("carried", "ids"))
+    decoded = arrow_map(rows, partial(_decode_batches, vocabulary=vocabulary), f"{kinds}, decoded string")
+    columns = [F.col("ids").alias(c) if c == ids_col else F.col("carried")[c].alias(c) for c in keep]
+    return decoded.select(*columns, "decoded")

@@ -8,6 +8,8 @@ import random
 import re
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -319,6 +321,51 @@ def test_sentencepiece_equals_the_library(spark, odd, empty):
     assert sentencepiece.encode(empty, vocabulary).count() == 0
 
 
+def piece_batch(texts):
+    return pa.record_batch({"carried": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+
+
+def test_pieces_of_words_walked_together(monkeypatch):
+    """Ordinary words never go one by one; long ones, runs of blanks, marks in the text and
+    characters without a piece give what the library gives."""
+    from sentencepiece import SentencePieceProcessor
+
+    library, vocabulary = SentencePieceProcessor(model_file=PIECES), sentencepiece.Vocabulary.load(PIECES)
+    alone, one_by_one = [], sentencepiece.Encoder.encode_sorted
+
+    def seen(self, words):
+        alone.extend(words)
+        return one_by_one(self, words)
+
+    monkeypatch.setattr(sentencepiece.Encoder, "encode_sorted", seen)
+    monkeypatch.setattr(sentencepiece, "SLICE_BYTES", 100_000)
+    rng = random.Random(23)
+    pieces, letters = sorted(vocabulary.ids), sorted({c for p in vocabulary.ids for c in p} | set("👍\x00\u0378"))
+    texts = [" ".join("".join(rng.choices(pieces, k=rng.randint(1, 4))) for _ in range(20)) for _ in range(1500)]
+    texts += ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(1500)]
+    texts += ["".join(rng.choices("abth  ▁\n\n👍", k=rng.randint(0, 12))) for _ in range(1500)]
+    texts += [None, "", "\n", " ", "▁", "日本語" * 900, "th" * 200 + "\u0378"]
+    texts += ["".join(rng.choices(letters[500:], k=rng.randint(300, 400))) for _ in range(60)]
+    batch = piece_batch(texts)
+    parts = list(sentencepiece._encode_batches(iter([batch.slice(0, 1), batch.slice(1), batch.slice(0, 0)]), vocabulary))
+    got = [ids for part in parts for ids in part.column(2).to_pylist()]
+    assert len(parts) > 3 and got == [library.encode((t or "").replace("▁", " ")) for t in texts]
+    assert all(w.startswith("▁▁") or len(w) > sentencepiece.LONG for w in alone)
+
+
+def test_pairs_apart_in_arrays():
+    encoder = sentencepiece.Encoder(sentencepiece.Vocabulary.load(PIECES))
+    rng = random.Random(29)
+    numbers = [i for p, i in sorted(encoder.v.ids.items()) if encoder._stable(p, i)]
+    common = numbers[:: len(numbers) // 400] + [i for i in numbers if len(encoder.v.pieces[i]) < 3][:400]
+    left, right = ([rng.choice((numbers, common)[i % 2]) for i in range(60_000)] for _ in range(2))
+    expected = [encoder.separate(encoder.v.pieces[a], encoder.v.pieces[b]) for a, b in zip(left, right)]
+    assert encoder.walk.apart(np.array(left, np.int32), np.array(right, np.int32)).tolist() == expected
+    assert 1000 < sum(expected) < 59_000
+    for _ in range(2):
+        assert encoder.walk._fit(np.array(left, np.int32), np.array(right, np.int32)).tolist() == expected
+
+
 def test_unigram_is_the_best_split():
     pieces = ["▁", "a", "b", "ab", "▁a", "ba", "bab"]
     scores = [-2.0, -3.0, -3.5, -4.0, -3.2, -4.4, -5.0]
