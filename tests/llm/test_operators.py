@@ -353,6 +353,44 @@ def test_pieces_of_words_walked_together(monkeypatch):
     assert all(w.startswith("▁▁") or len(w) > sentencepiece.LONG for w in alone)
 
 
+def test_workers_keep_no_words(monkeypatch):
+    """What an encoder remembers does not grow with the words it has met."""
+    monkeypatch.setattr(sentencepiece, "_encoders", {})
+    vocabulary = sentencepiece.Vocabulary.load(PIECES)
+    rng = random.Random(31)
+    texts = [" ".join("".join(rng.choices("etaoinshr", k=6)) for _ in range(200)) for _ in range(300)]
+    assert sum(p.num_rows for p in sentencepiece._encode_batches(iter([piece_batch(texts)]), vocabulary)) == 300
+    encoder = sentencepiece._encoder(vocabulary)
+    assert not (encoder.known or encoder.older or encoder.fits)
+    arrays = [a for o in (encoder.walk, encoder.walk.next, encoder.walk.joined) for a in vars(o).values() if isinstance(a, np.ndarray)]
+    assert sum(a.nbytes for a in arrays) < 24e6
+
+
+def test_decoding_in_parts(spark, monkeypatch):
+    """Long batches are decoded part by part, and piece numbers go to the worker once."""
+    monkeypatch.setattr(sentencepiece, "SLICE_BYTES", 4000)
+    vocabulary = sentencepiece.Vocabulary.load(PIECES)
+    rng = random.Random(37)
+    usable, byte = sorted(vocabulary.ids.values()), vocabulary.byte_ids
+    blank = vocabulary.ids["▁"]
+    lists = [rng.choices(usable, k=rng.randint(0, 40)) for _ in range(300)]
+    lists += [None, [], [blank], [blank, blank], [byte[0xE2]], [blank, byte[0xF0], byte[0x9F], usable[300]], [0], [0, blank]]
+    batch = pa.record_batch({"carried": pa.array(range(len(lists))), "ids": pa.array(lists, pa.list_(pa.int32()))})
+    pieces = {i: p.replace("▁", " ").encode() for p, i in vocabulary.ids.items()} | {i: bytes([b]) for b, i in byte.items()}
+    expected = [b"".join(pieces.get(i, b"") for i in ids or []).removeprefix(b" ").decode("utf-8", "replace") for ids in lists]
+    parts = list(sentencepiece._decode_batches(iter([batch.slice(0, 5), batch.slice(5)]), vocabulary))
+    assert [t for p in parts for t in p.column(2).to_pylist()] == expected
+    assert len(parts) > 4 and all(len(p.column(1).flatten()) < 1100 for p in parts)
+
+    rows = spark.createDataFrame([(1, "x", [blank, usable[300]])], "doc_id long, b string, ids array<int>")
+    decoded = sentencepiece.decode(rows, vocabulary)
+    assert decoded.columns == ["doc_id", "b", "ids", "decoded"]
+    assert tuple(decoded.first()) == (1, "x", [blank, usable[300]], vocabulary.pieces[usable[300]].replace("▁", " "))
+    plan = decoded._jdf.queryExecution().analyzed().toString()
+    (sent,) = re.findall(r"struct\(([^)]*)\) AS carried", plan)
+    assert "ids" not in sent
+
+
 def test_pairs_apart_in_arrays():
     encoder = sentencepiece.Encoder(sentencepiece.Vocabulary.load(PIECES))
     rng = random.Random(29)
