@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import math
 import pickle
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, partial
