@@ -21,6 +21,11 @@ def _tidy(
     """``function``, and at its end the memory it has freed goes back to the machine:
     a worker that waits for its next task keeps all it ever had otherwise."""
     yield from function(batches)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -17,10 +17,11 @@ their first bits; a shard's task adds them up and makes the shard's part of the
 a size that follows from what it holds. Shards are as many as keep each small.
 
 Scoring: while the whole filter and the word counts have at most ``BROADCAST_BYTES``, they
-are broadcast and every text is scored where it is. Beyond that the grams of each distinct
-text are sent to the shards they belong to and answered there; the few grams that are
-asked for most often are broadcast, so no shard is asked more than others. Both ways ask
-the same filter and give the same scores.
+are broadcast and every text is scored where it is. Beyond that distinct texts are dealt to
+groups of about ``GROUP_BYTES`` by a hash of their content. A group asks each shard once for
+all of its distinct grams that belong there, so no shard is asked more than others; the
+answers come back in the order of the questions, which the group finds again from its texts.
+Both ways ask the same filter and give the same scores.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
-from .common import arrow_map, quoted, row_key
+from .common import arrow_map, quoted, release, row_key
 from .hashing import mix
 
 # Levels: a count of BASE ** q and more has level q + 1.
@@ -48,14 +49,18 @@ PROBES = 5
 BITS = PROBES / math.log(2)
 # Text of one shard, about.
 SHARD_BYTES = 8 << 20
-BROADCAST_BYTES = 256 << 20
-# Grams a task sums up before it hands them on, and words whose hash a worker remembers.
+# Every worker holds a copy of what is broadcast.
+BROADCAST_BYTES = 16 << 20
+# Grams a task sums up before it hands them on, and texts it remembers to send copies once.
 FLUSH = 3_000_000
 MEMORY = 200_000
 # Text worked on at once; a longer one is worked on alone.
 SLICE_BYTES = 4 << 20
-# Grams of each shard, and of all, that may be broadcast apart from the filter.
-TOP, HEAVY = 256, 65_536
+# Text of a group that asks together, about, and text a task holds before it deals it out.
+GROUP_BYTES = 16 << 20
+DEAL_BYTES = 32 << 20
+# Questions that a shard answers at once.
+QUESTIONS = 1 << 17
 SEED = 29
 # No word holds a line end, so this is the end of a text, and what stands before it.
 END = xxhash.xxh64_intdigest(b"\n", SEED)
@@ -63,33 +68,57 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 THRESHOLDS = np.array(sorted({math.ceil(BASE**q - 1e-9) for q in range(LEVELS)}), dtype=np.int64)
 
 
-class Hashes(dict):
-    """The hash of a word, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMORY:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return found
+STEP = np.uint64(0xFF51AFD7ED558CCD)
+BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+# The first so many bytes of eight.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+# Words of more bytes are hashed one by one.
+LONG = 64
 
 
-_hashes = Hashes()
+def _word_hashes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each word, eight bytes of all words at a time. ``data`` has eight bytes
+    after the last word."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    hashes = mix((eights[starts] & FIRST[np.minimum(lengths, 8)]) + lengths.astype(np.uint64) * GOLDEN)
+    done, left = 8, np.flatnonzero(lengths > 8)
+    while done < LONG and len(left):
+        more = eights[starts[left] + done] & FIRST[np.minimum(lengths[left] - done, 8)]
+        hashes[left] = mix(hashes[left] * STEP + more)
+        done += 8
+        left = left[lengths[left] > done]
+    for i in left:
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]], SEED)
+    return hashes
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens end to end, each text closed by ``END``, and tokens per text.
     What stands before a token is the one before it, or ``END`` at the start."""
-    parts, sizes = [], np.empty(len(texts), dtype=np.int64)
-    end = np.array([END], dtype=np.uint64)
-    for i, text in enumerate(texts):
-        words = text.lower().split()
-        parts += [np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words)), end]
-        sizes[i] = len(words) + 1
-    return (np.concatenate(parts) if parts else end[:0]), sizes
+    data = b"\n".join([*texts, bytes(8)]).lower()
+    blank = BLANK[np.frombuffer(data, np.uint8)]
+    blank[-8:] = True
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edges = np.concatenate(([0], edges))
+    starts, ends = edges[::2], edges[1::2]
+    closed = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    sizes = np.diff(np.searchsorted(starts, closed), prepend=0) + 1
+    flat = np.full(len(starts) + len(texts), END, dtype=np.uint64)
+    words = np.ones(len(flat), dtype=bool)
+    words[np.cumsum(sizes) - 1] = False
+    flat[words] = _word_hashes(data, starts, ends - starts)
+    return flat, sizes
 
 
 def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(0xFF51AFD7ED558CCD) + word)
+    return mix(before * STEP + word)
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """In order. ``np.unique`` of plain numbers goes through a hash table, which takes longer."""
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else hashes
 
 
 def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,19 +204,20 @@ def _count_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.
         yield handed_on()
 
 
-def _spots(keys: np.ndarray, probe: int, sizes: np.ndarray) -> np.ndarray:
+def _spots(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The bit that a probe of each key looks at, of so many."""
-    spread = keys + np.uint64(probe) * (mix(keys ^ GOLDEN) | np.uint64(1))
-    return (((spread >> np.uint64(32)) * sizes) >> np.uint64(32)).astype(np.int64)
+    return (((keys >> np.uint64(32)) * sizes) >> np.uint64(32)).astype(np.int64)
 
 
-def _level_keys(hashes: np.ndarray, level: int) -> np.ndarray:
-    return mix(hashes + np.uint64(level * int(GOLDEN) % 2**64))
+def _level_keys(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of each gram at a level, for the first probe, and what the next ones add."""
+    keys = mix(hashes + np.uint64(level * int(GOLDEN) % 2**64))
+    return keys, mix(keys ^ GOLDEN) | np.uint64(1)
 
 
 FILTER = (
     "shard long, bits binary, n_bits long, n_tokens long, n_words long, n_pairs long, words binary, word_counts binary, "
-    "grams array<long>, totals array<long>, top_hashes array<long>, top_levels array<int>, top_counts array<long>"
+    "grams array<long>, totals array<long>"
 )
 
 
@@ -207,21 +237,16 @@ def _shard_row(shard: int, blocks: list[tuple[bool, bytes, bytes]]) -> dict:
         grams[pair * LEVELS : (pair + 1) * LEVELS] = np.bincount(levels, minlength=LEVELS)[:LEVELS]
         totals[pair * LEVELS : (pair + 1) * LEVELS] = np.bincount(levels, counts, LEVELS)[:LEVELS].astype(np.int64)
         for level in range(1, int(levels.max(initial=0)) + 1):
-            keys = _level_keys(hashes[levels >= level], level)
-            for probe in range(PROBES):
-                flags[_spots(keys, probe, np.uint64(n_bits))] = True
+            keys, steps = _level_keys(hashes[levels >= level], level)
+            for _ in range(PROBES):
+                flags[_spots(keys, np.uint64(n_bits))] = True
+                keys += steps
     words, word_counts, _ = found[False]
-    hashes, counts = (np.concatenate([found[p][i] for p in found]) for i in range(2))
-    top = np.argsort(-counts, kind="stable")[:TOP]
-    bits = np.packbits(flags, bitorder="little").tobytes()
-    own = Filter(0)
-    own.add(0, bits, n_bits, b"", b"")
     return {
-        "shard": shard, "bits": bits, "n_bits": n_bits,
+        "shard": shard, "bits": np.packbits(flags, bitorder="little").tobytes(), "n_bits": n_bits,
         "n_tokens": int(word_counts.sum()), "n_words": len(words), "n_pairs": len(found[True][0]),
         "words": words.tobytes(), "word_counts": word_counts.astype(np.uint32 if word_counts.max(initial=0) < 1 << 32 else np.uint64).tobytes(),
-        "grams": grams.tolist(), "totals": totals.tolist(), "top_hashes": hashes[top].view(np.int64).tolist(),
-        "top_levels": own.ready().levels(hashes[top]).tolist(), "top_counts": counts[top].tolist(),
+        "grams": grams.tolist(), "totals": totals.tolist(),
     }
 
 
@@ -229,8 +254,7 @@ FILTER_TYPE = pa.schema(
     [
         *[(n, pa.binary() if n in ("bits", "words", "word_counts") else pa.int64()) for n in
           ("shard", "bits", "n_bits", "n_tokens", "n_words", "n_pairs", "words", "word_counts")],
-        ("grams", pa.list_(pa.int64())), ("totals", pa.list_(pa.int64())), ("top_hashes", pa.list_(pa.int64())),
-        ("top_levels", pa.list_(pa.int32())), ("top_counts", pa.list_(pa.int64())),
+        ("grams", pa.list_(pa.int64())), ("totals", pa.list_(pa.int64())),
     ]
 )
 
@@ -278,7 +302,7 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     bits = max(0, math.ceil(math.log2(max(1, size / SHARD_BYTES))))
     grams = arrow_map(rows, partial(_count_batches, bits=bits), GRAMS)
     dealt = grams.repartition("shard").sortWithinPartitions("shard")
-    shards = materialise(arrow_map(dealt, _filter_batches, FILTER), "filter")
+    shards = materialise(arrow_map(dealt, _filter_batches, FILTER), "filter", drop_shuffles=True)
     sent = F.octet_length("bits") + F.octet_length("words") + F.octet_length("word_counts")
     sums = shards.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (sent, "n_tokens", "n_words", "n_pairs")]).first()
     by_level = shards.select(F.posexplode(F.arrays_zip("grams", "totals")).alias("level", "x"))
@@ -290,6 +314,9 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     return Model(shards, sums[0], numbers)
 
 
+BIT = np.left_shift(1, np.arange(8)).astype(np.uint8)
+
+
 class Filter:
     """Parts of the filter and the word counts that go with them, ready to be asked."""
 
@@ -326,12 +353,15 @@ class Filter:
         level = 0
         while len(left) and level < LEVELS - 1:
             level += 1
-            keys = _level_keys(hashes[left], level)
-            for probe in range(PROBES):
-                own = shards[left]
-                at = self.starts[own] + _spots(keys, probe, self.sizes[own])
-                set_ = (self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                left, keys = left[set_], keys[set_]
+            keys, steps = _level_keys(hashes[left], level)
+            starts, sizes = (x[shards[left]] if self.shift_bits else x for x in (self.starts, self.sizes))
+            for _ in range(PROBES):
+                at = starts + _spots(keys, sizes)
+                set_ = np.flatnonzero(self.bytes[at >> 3] & BIT[at & 7])
+                left, steps = left[set_], steps[set_]
+                keys = keys[set_] + steps
+                if self.shift_bits:
+                    starts, sizes = starts[set_], sizes[set_]
             found[left] = level
         return found
 
@@ -388,119 +418,190 @@ def _score_batches(batches: Iterator[pa.RecordBatch], numbers: Numbers, sent) ->
         )
 
 
-ASKED = "key0 long, key1 long, shard long, hashes binary, text_plan binary"
+GROUPS = "group long, keys binary, sizes binary, texts binary"
+GROUPS_TYPE = pa.schema([("group", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary())])
 
 
-def _plan(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A text's distinct words and pairs, and how often each comes."""
-    flat, _ = tokens([text])
-    words, at, pairs, pair_at = _neighbours(flat)
-    return words, np.bincount(at), pairs, np.bincount(pair_at)
+def _deal_batches(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
+    """Texts by group, compressed, with their keys. Copies that a task meets go once."""
+    held, size, seen = {}, 0, set()
 
+    def handed_on() -> pa.RecordBatch:
+        rows = {name: [] for name in GROUPS_TYPE.names}
+        for group, own in held.items():
+            texts = [text for _, text in own]
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            parts = (group, b"".join([key for key, _ in own]), sizes.tobytes(), pa.compress(b"".join(texts), "zstd", asbytes=True))
+            for name, value in zip(rows, parts):
+                rows[name].append(value)
+        held.clear()
+        return pa.RecordBatch.from_pydict(rows, schema=GROUPS_TYPE)
 
-def _ask_batches(batches: Iterator[pa.RecordBatch], bits: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each shard that a text has to ask, and one with its plan (shard -1)."""
     for batch in batches:
-        rows = {n: [] for n in ("key0", "key1", "shard", "hashes", "text_plan")}
-        for key0, key1, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _raw(batch.column(2))):
-            plan = words, _, pairs, _ = _plan(text)
-            before, word = np.divmod(pairs, len(words))
-            asked = np.unique(np.concatenate((words, pair_hash(words[before], words[word]))))
-            asked = asked[~np.isin(asked, heavy)]
-            shards = _shards_of(asked, bits)
-            starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1])))[: len(asked)]
-            data = [(-1, b"", len(words).to_bytes(8, "little") + b"".join(x.astype("<u8").tobytes() for x in plan))]
-            data += [(int(shards[a]), asked[a:b].tobytes(), None) for a, b in zip(starts, [*starts[1:], len(asked)])]
-            for shard, hashes, own in data:
-                for name, value in zip(rows, (key0, key1, shard, hashes, own)):
-                    rows[name].append(value)
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(list(zip(rows, types))))
+        keys = np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1)
+        numbers = batch.column(0).to_numpy().view(np.uint64) % np.uint64(groups)
+        for key, group, text in zip(map(np.ndarray.tobytes, keys), numbers.tolist(), _raw(batch.column(2))):
+            if key in seen:
+                continue
+            if len(seen) > MEMORY:
+                seen.clear()
+            seen.add(key)
+            held.setdefault(group, []).append((key, text))
+            size += len(text)
+            if size > DEAL_BYTES:
+                yield handed_on()
+                size = 0
+    if held:
+        yield handed_on()
 
 
-ANSWERED = "key0 long, key1 long, hashes binary, levels binary, counts binary, text_plan binary"
+def _texts_of(group: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """Keys and texts of a group, copies once."""
+    found = {}
+    for keys, sizes, texts in zip(*(group.column(n).to_pylist() for n in ("keys", "sizes", "texts"))):
+        sizes = np.frombuffer(sizes, np.int64)
+        data = pa.decompress(texts, int(sizes.sum()), "zstd", asbytes=True)
+        ends = np.cumsum(sizes).tolist()
+        for i, (at, to) in enumerate(zip([0, *ends], ends)):
+            found[keys[16 * i : 16 * i + 16]] = data[at:to]
+    return np.frombuffer(b"".join(found), np.int64).reshape(-1, 2), list(found.values())
+
+
+def _grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words and of all pairs, and tokens per text."""
+    parts, first, size = [], 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SLICE_BYTES:
+            parts.append(tokens(texts[first:i]))
+            first, size = i, 0
+        size += len(text)
+    parts.append(tokens(texts[first:]))
+    flat, sizes = (np.concatenate(x) for x in zip(*parts))
+    return flat, pair_hash(np.concatenate((flat[-1:], flat[:-1])), flat), sizes
+
+
+ASKED = "shard long, group long, words binary, pairs binary"
+ASKED_TYPE = pa.schema([("shard", pa.int64()), ("group", pa.int64()), ("words", pa.binary()), ("pairs", pa.binary())])
+
+
+def _ask(group: pa.Table, bits: int) -> pa.Table:
+    """One row for each shard that a group has to ask, with its distinct grams there."""
+    words, pairs, _ = _grams_of(_texts_of(group)[1])
+    words, pairs = _distinct(words), _distinct(pairs)
+    firsts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
+    of_words, of_pairs = ([*np.searchsorted(x, firsts).tolist(), len(x)] for x in (words, pairs))
+    rows = {name: [] for name in ASKED_TYPE.names}
+    number = group.column("group")[0].as_py()
+    for shard, (a, b, c, d) in enumerate(zip(of_words, of_words[1:], of_pairs, of_pairs[1:])):
+        if b > a or d > c:
+            for name, value in zip(rows, (shard, number, pack(words[a:b]), pack(pairs[c:d]))):
+                rows[name].append(value)
+    release()
+    return pa.Table.from_pydict(rows, schema=ASKED_TYPE)
 
 
-def _answer_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Sorted by shard, a shard's part of the filter before the questions to it."""
-    held, shard = None, None
-    names = ("key0", "key1", "hashes", "levels", "counts", "text_plan")
-    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+ANSWERED = "group long, shard long, words binary, counts binary, pairs binary"
+ANSWERED_TYPE = pa.schema(
+    [("group", pa.int64()), ("shard", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()), ("pairs", pa.binary())]
+)
+
+
+def _answers(held: Filter, shard: int, asked: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Levels of all grams and counts of the words, in the order of the questions."""
+    words, pairs = (np.concatenate([x[i] for x in asked]) for i in (1, 2))
+    levels, pair_levels = (held.levels(x).astype(np.uint8) for x in (words, pairs))
+    counts = held.word_counts(words)
+    rows = {name: [] for name in ANSWERED_TYPE.names}
+    at = pair_at = 0
+    for group, own, own_pairs in asked:
+        to, pair_to = at + len(own), pair_at + len(own_pairs)
+        row = (group, shard, levels[at:to].tobytes(), _pack_counts(counts[at:to]), pair_levels[pair_at:pair_to].tobytes())
+        for name, value in zip(rows, row):
+            rows[name].append(value)
+        at, pair_at = to, pair_to
+    return pa.RecordBatch.from_pydict(rows, schema=ANSWERED_TYPE)
+
+
+def _answer_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted by shard, a shard's part of the filter before the questions to it. Shards
+    that hold nothing have no part and answer no."""
+    held, shard, asked, size = Filter(0).ready(), None, [], 0
     for batch in batches:
-        rows = {n: [] for n in names}
         for r in batch.to_pylist():
-            if not r["is_text"]:
-                held, shard = Filter(bits), r["shard"]
-                held.add(shard, r["bits"], r["n_bits"], r["words"], r["word_counts"])
+            if asked and (r["shard"] != shard or size > QUESTIONS):
+                yield _answers(held, shard, asked)
+                asked, size = [], 0
+            if r["shard"] != shard:
+                held, shard = Filter(0), r["shard"]
+                if not r["is_question"]:
+                    held.add(0, r["bits"], r["n_bits"], r["words"], r["word_counts"])
                 held.ready()
-                continue
-            hashes = np.frombuffer(r["hashes"], np.uint64)
-            if r["shard"] == shard:
-                levels, counts = held.levels(hashes), held.word_counts(hashes)
-            else:
-                levels, counts = np.zeros(len(hashes), np.int16), np.zeros(len(hashes), np.int64)
-            row = (r["key0"], r["key1"], r["hashes"], levels.astype(np.int16).tobytes(), counts.tobytes(), r["text_plan"])
-            for name, value in zip(names, row):
-                rows[name].append(value)
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(list(zip(names, kinds))))
+            if r["is_question"]:
+                asked.append((r["group"], unpack(r["words"]), unpack(r["pairs"])))
+                size += len(asked[-1][1]) + len(asked[-1][2])
+    if asked:
+        yield _answers(held, shard, asked)
 
 
-def _gathered_batches(batches: Iterator[pa.RecordBatch], numbers: Numbers, heavy: tuple) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = {n: [] for n in ("key0", "key1", "n_tokens", "n_known", "base_score", "score")}
-        for row in batch.to_pylist():
-            n = int.from_bytes(row["text_plan"][:8], "little")
-            plan = np.frombuffer(row["text_plan"], "<u8")[1:]
-            words, times = plan[:n], plan[n : 2 * n].astype(np.int64)
-            pairs, pair_times = (x.astype(np.int64) for x in np.split(plan[2 * n :], 2))
-            hashes = np.concatenate([heavy[0], *[np.frombuffer(a["hashes"], np.uint64) for a in row["answers"]]])
-            levels = np.concatenate([heavy[1], *[np.frombuffer(a["levels"], np.int16) for a in row["answers"]]])
-            counts = np.concatenate([heavy[2], *[np.frombuffer(a["counts"], np.int64) for a in row["answers"]]])
-            order = np.argsort(hashes, kind="stable")
-            hashes, levels, counts = hashes[order], levels[order], counts[order]
-            before, word = np.divmod(pairs, n)
-            at = np.searchsorted(hashes, words)
-            pair_levels = levels[np.searchsorted(hashes, pair_hash(words[before], words[word]))]
-            logs = log_probabilities(numbers, levels[at][before], levels[at][word], pair_levels)
-            row_out = (
-                row["key0"], row["key1"], int(times.sum()), int(times[counts[at] > 0].sum()),
-                float((times * base_logs(numbers, counts[at])).sum()), float((pair_times * logs).sum()),
-            )
-            for name, value in zip(out, row_out):
-                out[name].append(value)
-        kinds = [*[pa.int64()] * 4, pa.float64(), pa.float64()]
-        yield pa.RecordBatch.from_pydict(out, schema=pa.schema(list(zip(out, kinds))))
-
-
-def _heavy(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The grams with the highest counts, ``HEAVY`` at most: hashes, levels, counts."""
-    top = model.shards.select(F.explode(F.arrays_zip("top_hashes", "top_levels", "top_counts")).alias("t")).select("t.*")
-    held = top.orderBy(F.desc("top_counts"), "top_hashes").limit(HEAVY).toArrow()
-    hashes, levels, counts = (held.column(i).to_numpy() for i in range(3))
-    order = np.argsort(hashes.view(np.uint64))
-    return hashes.view(np.uint64)[order], levels[order].astype(np.int16), counts[order].astype(np.int64)
+SCORED_TYPE = pa.schema(
+    [*[(n, pa.int64()) for n in ("key0", "key1", "n_tokens", "n_known")], ("base_score", pa.float64()), ("score", pa.float64())]
+)
+
+
+def _gather(group: pa.Table, answers: pa.Table, numbers: Numbers) -> pa.Table:
+    """Scores of a group's texts. Shards go by the first bits of a hash, so their answers
+    end to end are those to the sorted distinct grams."""
+    keys, texts = _texts_of(group)
+    flat, pairs, sizes = _grams_of(texts)
+    n_words, at = _places(flat)
+    n_pairs, pair_at = _places(pairs)
+    answers = answers.sort_by("shard")
+    levels, pair_levels = (np.frombuffer(b"".join(answers.column(n).to_pylist()), np.uint8) for n in ("words", "pairs"))
+    counts = np.concatenate([_unpack_counts(c, len(w)) for c, w in zip(*(answers.column(n).to_pylist() for n in ("counts", "words")))])
+    if (len(levels), len(pair_levels)) != (n_words, n_pairs):
+        raise RuntimeError("answers do not fit the texts of their group")
+    starts = np.cumsum(sizes) - sizes
+    word = levels[at]
+    logs = log_probabilities(numbers, np.concatenate((word[-1:], word[:-1])), word, pair_levels[pair_at])
+    known = np.add.reduceat((counts > 0).astype(np.int64)[at], starts)
+    columns = [keys[:, 0], keys[:, 1], sizes, known, np.add.reduceat(base_logs(numbers, counts)[at], starts), np.add.reduceat(logs, starts)]
+    out = pa.Table.from_arrays([pa.array(c) for c in columns], schema=SCORED_TYPE)
+    release()
+    return out
+
+
+def _places(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many are distinct, and the place of each among those in order."""
+    order = np.argsort(hashes)
+    held = hashes[order]
+    rank = np.cumsum(np.concatenate(([False], held[1:] != held[:-1])), dtype=np.int32)
+    places = np.empty(len(hashes), dtype=np.int32)
+    places[order] = rank
+    return int(rank[-1]) + 1, places
+
+
+def _questions(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The groups of distinct texts, dealt out, and what they ask."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = rows.select("key0", "key1", "text")
+    dealt = arrow_map(texts, partial(_deal_batches, groups=max(1, math.ceil(size / GROUP_BYTES))), GROUPS)
+    groups = dealt.repartition("group")
+    # Spark looks for the arguments' types, which a partial function does not tell.
+    return groups, groups.groupBy("group").applyInArrow(lambda group: _ask(group, bits), ASKED)
 
 
 def _score_by_shards(rows: DataFrame, model: Model, names: list[str]) -> DataFrame:
-    heavy = _heavy(model)
-    bits = model.numbers.bits
-    keys = [k.alias(f"key{i}") for i, k in enumerate(row_key("text"))]
-    asked = arrow_map(rows.select(*keys, "text"), partial(_ask_batches, bits=bits, heavy=heavy[0]), ASKED)
-    # Copies ask once.
-    asked = asked.groupBy("key0", "key1", "shard").agg(F.first("hashes").alias("hashes"), F.first("text_plan").alias("text_plan"))
-    plans = asked.filter("shard < 0").select("key0", "key1", "text_plan")
-    parts = model.shards.select("shard", F.lit(False).alias("is_text"), "bits", "n_bits", "words", "word_counts")
-    questions = asked.filter("shard >= 0").select("shard", F.lit(True).alias("is_text"), "key0", "key1", "hashes", "text_plan")
-    dealt = parts.unionByName(questions, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "is_text")
-    answers = arrow_map(dealt, partial(_answer_batches, bits=bits), ANSWERED)
-    answer = F.struct("hashes", "levels", "counts")
-    gathered = answers.groupBy("key0", "key1").agg(F.collect_list(answer).alias("answers"))
-    gathered = plans.join(gathered, ["key0", "key1"], "left").select(
-        "key0", "key1", "text_plan", F.coalesce("answers", F.expr("cast(array() as array<struct<hashes: binary, levels: binary, counts: binary>>)")).alias("answers")
-    )
-    scored = arrow_map(gathered, partial(_gathered_batches, numbers=model.numbers, heavy=heavy), f"key0 long, key1 long, {SCORES}")
-    scored = materialise(scored, "scored")
-    out = rows.select(*names, *keys).join(scored.hint("merge"), ["key0", "key1"])
+    rows = rows.select(*names, *[k.alias(f"key{i}") for i, k in enumerate(row_key("text"))], "text")
+    groups, asked = _questions(rows, model.numbers.bits)
+    parts = model.shards.select("shard", F.lit(False).alias("is_question"), "bits", "n_bits", "words", "word_counts")
+    questions = asked.withColumn("is_question", F.lit(True))
+    dealt = parts.unionByName(questions, allowMissingColumns=True).repartition("shard").sortWithinPartitions("shard", "is_question")
+    answers = arrow_map(dealt, _answer_batches, ANSWERED)
+    # Both sides by group: the texts are dealt out once for this and for the questions.
+    both, numbers = groups.groupBy("group").cogroup(answers.groupBy("group")), model.numbers
+    scored = both.applyInArrow(lambda group, own: _gather(group, own, numbers), f"key0 long, key1 long, {SCORES}")
+    scored = materialise(scored, "scored", drop_shuffles=True)
+    out = rows.select(*names, "key0", "key1").join(scored.hint("merge"), ["key0", "key1"])
     return out.select(*names, "n_tokens", "n_known", "base_score", "score")
 
 

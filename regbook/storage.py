@@ -34,8 +34,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/regbook/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return the written table. ``drop_shuffles``
+    takes what was shuffled for that off the disks at once, not when the driver collects
+    its garbage."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    if drop_shuffles:
+        conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,16 +2,20 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from regbook.llm import lm_scoring as lm
 from regbook.llm import queries
-from regbook.llm.common import table
+from regbook.llm.common import row_key, table
+from regbook.storage import materialise
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -154,6 +158,85 @@ def test_nulls_empty_tables_and_extra_columns(spark, limit):
         assert row["n_known"] == 0 and row["base_score"] == 0 and row["score"] == 0
 
 
+def test_groups_ask_each_shard_once(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_BYTES", 1 << 12)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghijk", k=40)) for _ in range(400)] * 2
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    rows = docs.select(*[k.alias(f"key{i}") for i, k in enumerate(row_key("text"))], "text")
+    groups, asked = lm._questions(rows, 4)
+    held = Counter()
+    by_group = {}
+    for row in groups.collect():
+        by_group.setdefault(row["group"], []).append(row)
+        held[row["group"]] += 1
+    wanted = {}
+    for group, blocks in by_group.items():
+        _, own = lm._texts_of(pa.Table.from_pylist([b.asDict() for b in blocks], schema=lm.GROUPS_TYPE))
+        wanted[group] = [t.decode() for t in own]
+    # Every distinct text is in one group, and once.
+    assert sorted(t for own in wanted.values() for t in own) == sorted(set(texts)) and len(wanted) > 5
+    rows = asked.collect()
+    # One question a group and shard, not a text and shard, with all grams of the group.
+    assert len(rows) == len({(r["group"], r["shard"]) for r in rows}) <= 16 * len(wanted)
+    for group, own in wanted.items():
+        grams = {g for t in own for g in (*tokens(t), *zip(["end", *tokens(t)], tokens(t)))}
+        found = [h for r in rows if r["group"] == group for n in ("words", "pairs") for h in lm.unpack(r[n]).tolist()]
+        assert len(found) == len(set(found)) == len(grams)
+        assert all(h >> 60 == r["shard"] for r in rows if r["group"] == group for h in lm.unpack(r["pairs"]).tolist())
+
+
+def test_many_groups_and_questions_in_parts(spark, texts, scored, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_BYTES", 1 << 12)
+    for name, value in (("GROUP_BYTES", 1 << 12), ("DEAL_BYTES", 1 << 11), ("QUESTIONS", 50), ("MEMORY", 3)):
+        monkeypatch.setattr(lm, name, value)
+    docs, _, _ = scored
+    model = lm.train(docs.filter("doc_id % 3 != 0"))
+    got, other = ({r[0]: r[1:] for r in lm.score(docs, model, limit=limit).collect()} for limit in (0, lm.BROADCAST_BYTES))
+    assert got.keys() == other.keys() and len(got) == len(texts)
+    for i, row in got.items():
+        assert row[:2] == other[i][:2] and row[2:] == pytest.approx(other[i][2:])
+
+
+def test_hashes_follow_the_words():
+    rng = random.Random(6)
+    alphabet = [b"\0", b"a", b"B", "\u00e9".encode(), b"\xff", b"\x1c", b"\x85", b" ", b"\n", b"\x0b", b"\x0c", b"\r", b"\t"]
+    long = [b"a" * n for n in (7, 8, 9, 15, 16, 17, 63, 64, 65, 72, 200, 5000)] + [b"a" * 64 + b"b", b"b" + b"a" * 64]
+    texts = [b"", b" ", b"a\0", b"a", b"\0", b" ".join(long), b" ".join(long[::-1]).upper()]
+    texts += [b"".join(rng.choices(alphabet, weights=[3] * 7 + [1] * 6, k=rng.randint(0, 120))) for _ in range(300)]
+    flat, sizes = lm.tokens(texts)
+    words = [w for t in texts for w in [*t.lower().split(), None]]
+    assert sizes.tolist() == [len(t.split()) + 1 for t in texts] and len(flat) == len(words)
+    known = dict(zip(words, flat.tolist()))
+    assert known[None] == lm.END and [known[w] for w in words] == flat.tolist()
+    assert len(set(known.values())) == len(known)
+    # The same whatever stands beside them.
+    for text in texts[:60]:
+        assert lm.tokens([text])[0].tolist() == [known[w] for w in [*text.lower().split(), None]]
+    assert [len(x) for x in lm.tokens([])] == [0, 0]
+
+
+def test_shuffles_are_dropped_when_written(spark):
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf()))
+
+    def files():
+        return set(folder.parent.glob("blockmgr-*/*/shuffle_*.data"))
+
+    before, wanted = files(), list(range(1000))
+    df = spark.range(1000).repartition(3, "id")
+    assert sorted(r[0] for r in materialise(df, "kept").collect()) == wanted
+    kept = files()
+    assert sorted(r[0] for r in materialise(df, "dropped", drop_shuffles=True).collect()) == wanted
+    assert kept - before
+    # Spark takes them away in the background.
+    for _ in range(100):
+        if not files() - kept:
+            break
+        time.sleep(0.1)
+    assert not files() - kept
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_query(spark):
     docs = table(spark, FOLDER, "documents").select("doc_id", "text").collect()
     held = {r[0] for r in docs if zlib.crc32(str(r[0]).encode()) % 7 == 2}
